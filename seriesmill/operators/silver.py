@@ -9,6 +9,7 @@ from seriesmill.functions.columns import within
 from seriesmill.operators.quantiles import IN_MEMORY_ROWS, exact_quantiles, long_form
 from seriesmill.operators.ranks import bounded
 from seriesmill.operators.slices import attach, fill
+from seriesmill.session import materialise
 from seriesmill.spec import SeriesSpec, ordered
 
 
@@ -24,8 +25,8 @@ def range_counts(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return bad.unpivot([], list(spec.ranges), "sensor", "out_of_range")
 
 
-def fill_series(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    return fill(df, spec.group, spec.order, spec.sensors, spec.max_rows_per_task)
+def fill_series(df: DataFrame, spec: SeriesSpec, none_hot: bool = False) -> DataFrame:
+    return fill(df, spec.group, spec.order, spec.sensors, spec.max_rows_per_task, none_hot)
 
 
 def keep_first(df: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -65,6 +66,17 @@ def median_fallback(df: DataFrame, spec: SeriesSpec, in_memory_rows: int = IN_ME
 
 
 def silver(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Range rule, fill, dedup, all-null drop, median fallback: in this order."""
+    """Range rule, fill, dedup, all-null drop, median fallback: in this order.
+
+    A value can stay missing only where a whole key has none.  One count per key
+    tells so beforehand; the fallback then works on a written table.
+    """
     ranged = null_out_of_range(df, spec)
-    return median_fallback(drop_all_null(keep_first(fill_series(ranged, spec), spec), spec), spec)
+    per_key = ranged.groupBy(*spec.group).agg(
+        F.count(F.lit(1)).alias("_n"), F.least(*[F.count(s) for s in spec.sensors], F.count(F.lit(1))).alias("_known")
+    )
+    worst = per_key.agg(F.max("_n").alias("n"), F.min("_known").alias("known")).first()
+    none_hot = (worst["n"] or 0) <= spec.max_rows_per_task
+    filled = fill_series(ranged, spec, none_hot)
+    rows = drop_all_null(keep_first(filled, spec), spec)
+    return rows if worst["known"] else median_fallback(materialise(rows, "cleaned"), spec)

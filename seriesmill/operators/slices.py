@@ -158,9 +158,13 @@ def fill(
     order: Sequence[Column],
     columns: Sequence[str],
     max_rows: int,
+    none_hot: bool = False,
 ) -> DataFrame:
-    """Forward fill, then fill the leading gap with the first known value of the key."""
-    carved = carve(df, keys, order, max_rows)
+    """Forward fill, then fill the leading gap with the first known value of the key.
+
+    ``none_hot`` skips the count when the caller knows that no key is hot.
+    """
+    carved = Carved(df) if none_hot else carve(df, keys, order, max_rows)
     up_to = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
