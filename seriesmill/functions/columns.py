@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,8 +81,3 @@ def before(columns: Sequence[Column], values: Sequence[object]) -> Column:
             same = column.eqNullSafe(F.lit(value))
         result = less | (same & result)
     return result
-
-
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on ``keys``."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])

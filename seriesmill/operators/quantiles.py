@@ -40,7 +40,8 @@ def exact_quantiles(
         present = present.withColumn("_all", F.lit(0))
     largest = present.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
     if largest <= in_memory_rows:
-        result = present.groupBy(*by).agg(*[F.percentile(value, p).alias(n) for n, p in probs.items()])
+        points = present.groupBy(*by).agg(F.percentile(value, list(probs.values())).alias("_points"))
+        result = points.select(*by, *[F.col("_points")[i].alias(n) for i, n in enumerate(probs)])
     else:
         result = _by_bracket(present, by, probs, value, accuracy)
     return result if groups else result.drop("_all")

@@ -121,9 +121,9 @@ def hash_cuts(df: DataFrame, groups: Sequence[str], wants: Sequence[Column]) ->
     """Per group, the digest ``_h`` at which ``wants[i]`` rows of the group are reached.
 
     ``wants`` are expressions over ``n``, the rows of the group.  Columns: groups,
-    ``n``, and per want ``_cut_i``, ``_spare_i`` (rows to take at the cut) and
-    ``_tied_i`` (rows that share the digest).  Counting goes by the first four
-    hex digits and then inside the one prefix that holds the cut.
+    and per want ``_cut_i``, ``_spare_i`` (rows to take at the cut) and ``_tied_i``
+    (rows that share the digest), null where nothing is wanted.  Counting goes by
+    the first four hex digits and then inside the prefixes that hold a cut.
     """
     prefix = F.substring("_h", 1, 4)
     by_prefix = materialise(
@@ -134,29 +134,29 @@ def hash_cuts(df: DataFrame, groups: Sequence[str], wants: Sequence[Column]) ->
     totals = by_prefix.select(
         "*", F.sum("_m").over(group).alias("n"), F.sum("_m").over(upto).alias("_upto")
     )
-    result = by_prefix.groupBy(*groups).agg(F.sum("_m").alias("n"))
-    for i, want in enumerate(wants):
-        wanted = F.least(want.cast("bigint"), F.col("n"))
-        edge = (
-            totals.withColumn("_rest", wanted - F.col("_upto") + F.col("_m"))
-            .where("_rest > 0 AND _rest <= _m")
-            .select(*groups, "_p", "_rest")
-        )
-        at_edge = attach(df.withColumn("_p", prefix), bounded(edge), [*groups, "_p"])
-        ties = at_edge.groupBy(*groups, "_h", "_rest").agg(F.count(F.lit(1)).alias("_m"))
-        inner = group.orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
-        cut = (
-            ties.withColumn("_spare", F.col("_rest") - F.sum("_m").over(inner) + F.col("_m"))
-            .where("_spare > 0 AND _spare <= _m")
-            .select(
-                *groups,
-                F.col("_h").alias(f"_cut_{i}"),
-                F.col("_spare").alias(f"_spare_{i}"),
-                F.col("_m").alias(f"_tied_{i}"),
-            )
-        )
-        result = attach(result, cut, groups, "left")
-    return result
+    numbered = F.array(
+        *[F.struct(F.lit(i).alias("_i"), want.cast("bigint").alias("_want")) for i, want in enumerate(wants)]
+    )
+    edges = (
+        totals.select("*", F.inline(numbered))
+        .withColumn("_rest", F.least("_want", "n") - F.col("_upto") + F.col("_m"))
+        .where("_rest > 0 AND _rest <= _m")
+        .select(*groups, "_p", "_i", "_rest")
+    )
+    # one more pass, over the few prefixes that hold a cut
+    at_edge = attach(df.withColumn("_p", prefix), bounded(edges), [*groups, "_p"])
+    ties = at_edge.groupBy(*groups, "_i", "_rest", "_h").agg(F.count(F.lit(1)).alias("_m"))
+    inner = Window.partitionBy(*groups, "_i").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
+    cuts = ties.withColumn("_spare", F.col("_rest") - F.sum("_m").over(inner) + F.col("_m")).where(
+        "_spare > 0 AND _spare <= _m"
+    )
+    return cuts.groupBy(*groups).agg(
+        *[
+            F.max(F.when(F.col("_i") == i, F.col(source))).alias(f"{name}_{i}")
+            for i in range(len(wants))
+            for source, name in (("_h", "_cut"), ("_spare", "_spare"), ("_m", "_tied"))
+        ]
+    )
 
 
 def bounded(df: DataFrame, cap: int = SMALL_ROWS) -> DataFrame:

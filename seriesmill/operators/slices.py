@@ -70,17 +70,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> list:
 
 def carve(df: DataFrame, keys: Sequence[str], order: Sequence[Column], max_rows: int) -> Carved:
     spark = df.sparkSession
-    found = hot_keys(df, keys, max_rows) if keys else None
-    if found is not None and not found:
+    found = hot_keys(df, keys, max_rows)
+    if not found:
         return Carved(df)
-    if keys:
-        named = spark.createDataFrame(found, df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).schema)
-        named = hinted(named.select(*keys))
-        total = sum(r["_n"] for r in found)
-        cold, rows = attach(df, named, keys, "left_anti"), attach(df, named, keys, "left_semi")
-    else:
-        total = df.count()
-        cold, rows = df.limit(0), df
+    named = spark.createDataFrame([tuple(r[k] for k in keys) for r in found], df.select(*keys).schema)
+    named = hinted(named)
+    total = sum(r["_n"] for r in found)
+    cold, rows = attach(df, named, keys, "left_anti"), attach(df, named, keys, "left_semi")
     n_slices = max(1, ceil(total / max(max_rows, total // SLICE_CAP, 1)))
     by = [*[F.col(k).asc_nulls_last() for k in keys], *order, F.col("_source").asc()]
     placed = (

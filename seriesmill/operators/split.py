@@ -39,7 +39,7 @@ def stratified_split(
     tagged = df.withColumn("_h", hash_key(key, seed))
     size = F.bround(F.col("n") * F.lit(part))
     cuts = bounded(hash_cuts(tagged.select(label, "_h"), [label], [size, size * 2]))
-    placed = attach(tagged, cuts, [label])
+    placed = attach(tagged, cuts, [label], "left")
     split = (
         F.when(F.col("_h") <= F.col("_cut_0"), F.lit("test"))
         .when(F.col("_h") <= F.col("_cut_1"), F.lit("val"))

@@ -58,22 +58,44 @@ def _prefix_counts(
         scores(F.col(p), thresholds),
         lambda x, i: F.when(i == index, F.lit(float("-inf"))).otherwise(x),
     )
-    mine = F.col("_p")
-    wins = [
-        (mine / F.lit(clipped(t)) > F.col("_s"))
-        | ((mine / F.lit(clipped(t)) == F.col("_s")) & (F.lit(index) < F.col("j")))
-        for t in points
-    ]
-    length = sum((w.cast("int") for w in wins[1:]), wins[0].cast("int"))
     return (
         df.select(F.col(y).alias("y"), F.col(p)[index].alias("_p"), rivals.alias("_r"))
         .select("y", "_p", F.array_max("_r").alias("_s"), first_best(F.col("_r")).alias("j"))
-        .select("y", "j", length.alias("k"))
+        .withColumn("_at", _near(points))
+        .select("y", "j", _prefix_length(index, points).alias("k"))
         .groupBy("k", "y", "j")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+_NEAR = 5  # grid points compared exactly around the estimated end of the prefix
+
+
+def _near(points: Sequence[float]) -> Column:
+    """First of the points to compare: the prefix ends near p/s on the even grid."""
+    last = max(0, len(points) - _NEAR)
+    step = (points[-1] - points[0]) / (len(points) - 1)
+    cell = F.floor((F.try_divide("_p", "_s") - F.lit(points[0])) / F.lit(step))
+    return F.greatest(F.lit(0), F.least(cell - 1, F.lit(last))).cast("int")
+
+
+def _prefix_length(index: int, points: Sequence[float]) -> Column:
+    """Number of grid points at which the class wins, decided on the scores themselves.
+
+    Against a rival score of zero or less the answer is the same at every point.
+    """
+    values = F.array(*[F.lit(clipped(t)) for t in points])
+
+    def wins(t: Column) -> Column:
+        mine = F.col("_p") / t
+        return (mine > F.col("_s")) | ((mine == F.col("_s")) & (F.lit(index) < F.col("j")))
+
+    near = [wins(F.get(values, F.col("_at") + i)) for i in range(min(_NEAR, len(points)))]
+    counted = F.col("_at") + sum((w.cast("int") for w in near[1:]), near[0].cast("int"))
+    constant = F.when(wins(F.lit(clipped(points[0]))), F.lit(len(points))).otherwise(F.lit(0))
+    return F.when(F.col("_s") > 0, counted).otherwise(constant)
+
+
 def _grid_cells(counts: DataFrame, index: int, points: Sequence[float]) -> DataFrame:
     """Confusion counts per grid point, from the prefix table."""
     steps = F.array(

@@ -6,10 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Rows a driver may hold, or a broadcast may carry, after the count was checked.
 SMALL_ROWS = 10_000
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def build_session(app: str = "seriesmill", master: str | None = None, partitions: int | None = None) -> SparkSession:
@@ -41,9 +41,16 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="seriesmill-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="seriesmill-")
+    return _LOCAL_DIRS[app]
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let iterative learners checkpoint to the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -59,15 +66,3 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small(df: DataFrame, cap: int = SMALL_ROWS) -> DataFrame:
-    """``df`` as a broadcast side when it has at most ``cap`` rows, else unchanged.
-
-    Beyond the cap the join that uses it is an ordinary shuffle join, whose skew
-    adaptive execution splits.
-    """
-    rows = df.limit(cap + 1).collect()
-    if len(rows) > cap:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesmill.operators.ranks import bounded
+from seriesmill.operators.slices import attach
+
 RUN_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -44,13 +47,13 @@ PREDICTION_SCHEMA = T.StructType(
 
 def upsert_ignore(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], first_by: Sequence[str]) -> DataFrame:
     """Existing rows plus the incoming ones whose key is new; of equal new keys the first stays."""
-    fresh = incoming.join(existing.select(*keys).distinct(), list(keys), "left_anti")
     w = Window.partitionBy(*keys).orderBy(*first_by)
-    fresh = fresh.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    firsts = incoming.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    fresh = firsts.join(existing.select(*keys).distinct(), list(keys), "left_anti")
     return existing.unionByName(fresh.select(*existing.columns))
 
 
 def fk_violations(rows: DataFrame, column: str, dimension: DataFrame, key: str) -> DataFrame:
     """Rows whose non-null ``column`` is no ``key`` of the dimension."""
-    known = dimension.select(F.col(key).alias("_key")).distinct()
-    return rows.where(F.col(column).isNotNull()).join(known, F.col(column) == F.col("_key"), "left_anti")
+    known = bounded(dimension.select(F.col(key).alias(column)).distinct())
+    return attach(rows.where(F.col(column).isNotNull()), known, [column], "left_anti")
