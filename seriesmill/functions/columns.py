@@ -70,14 +70,29 @@ def sortable(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
+def from_sortable(df: DataFrame, name: str, value: object) -> Column:
+    """The literal of column ``name`` for a value of :func:`sortable`."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return F.expr(f"timestampadd(MICROSECOND, {value}L, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(F.lit(value))
+    return F.lit(value)
+
+
 def before(columns: Sequence[Column], values: Sequence[object]) -> Column:
-    """Whether the tuple of columns sorts before the tuple of values, nulls last."""
+    """True where the tuple of columns sorts before the tuple of values, nulls last.
+
+    Elsewhere false or null.
+    """
     result = F.lit(False)
     for column, value in reversed(list(zip(columns, values, strict=True))):
         if value is None:
             less, same = column.isNotNull(), column.isNull()
         else:
-            less = F.coalesce(column < F.lit(value), F.lit(False))
+            less = column < F.lit(value)
             same = column.eqNullSafe(F.lit(value))
         result = less | (same & result)
     return result

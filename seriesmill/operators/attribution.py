@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import display_name, sensor_of, share
 from seriesmill.operators.model import EventModel, assemble
+from seriesmill.operators.ranks import bounded
 from seriesmill.session import scratch_path
 from seriesmill.spec import OTHER_SENSOR
 
@@ -154,7 +155,7 @@ def sensor_class_matrix(shares: DataFrame, sensors: Sequence[str], classes: Sequ
 
 def attribution_report(values: DataFrame, sensors: Sequence[str], n: int = 10) -> DataFrame:
     """Per class: its top features with sensor and value, rounded as in the report, and the sensor's share."""
-    by_class = class_importance(values)
+    by_class = bounded(class_importance(values))
     shares = sensor_by_class(by_class, sensors).select(
         "class", "sensor", F.round("pct", 1).alias("sensor_pct")
     )

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmill.functions.columns import before, hash_key, sortable
+from seriesmill.functions.columns import before, from_sortable, hash_key, sortable
 from seriesmill.operators.slices import attach, hinted
 from seriesmill.session import SMALL_ROWS, materialise
 
@@ -70,7 +70,9 @@ def keys_at(df: DataFrame, names: Sequence[str], fractions: Sequence[float]) ->
     """Order key of row floor(n * f) for every f; None where that is past the end."""
     levels = _levels(df, names)
     narrow = df.select(*names)
-    counts = narrow.groupBy(levels[0][1].alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(
+        narrow.groupBy(levels[0][1].alias("v")).agg(F.count(F.lit(1)).alias("n")), "counts"
+    )
     total = counts.agg(F.sum("n")).first()[0] or 0
     ranks = [int(total * f) for f in fractions]
     if not total:
@@ -113,7 +115,11 @@ def label_by_rank(
         if cut is None:
             result = F.lit(label)
         else:
-            result = F.when(before(columns, cut), F.lit(label)).otherwise(result)
+            inside = before(columns, cut)
+            if cut[0] is not None:
+                # implied by the rest, and simple enough for the scan to skip row groups
+                inside = (F.col(names[0]) <= from_sortable(df, names[0], cut[0])) & inside
+            result = F.when(inside, F.lit(label)).otherwise(result)
     return result
 
 

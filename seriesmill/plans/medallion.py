@@ -11,9 +11,10 @@ from seriesmill.operators import features as feat
 from seriesmill.operators import scale
 from seriesmill.operators.silver import silver
 from seriesmill.operators.split import split_column
+from seriesmill.session import fit_shuffle
 from seriesmill.sources.bronze import LABEL_TEXT, bronze
 from seriesmill.sources.catalog import enrich
-from seriesmill.sources.files import read_by_shape, union_missing, write_json, write_table
+from seriesmill.sources.files import read_by_shape, size_of, union_missing, write_json, write_table
 from seriesmill.spec import WELL_SERIES, SeriesSpec, event_labels
 
 # Combined tables that ingestion leaves beside the series files.
@@ -78,3 +79,12 @@ def run_gold(df: DataFrame, out: str, spec: SeriesSpec = WELL_SERIES, **options)
     rows, stats = gold(df, spec, keep=keep, **options)
     write_json(stats, f"{out}/scaler")
     return write_table(rows.withColumn("gold_at", F.current_timestamp()), f"{out}/rows", ["split"])
+
+
+def run_all(spark: SparkSession, raw_dir: str, out: str, spec: SeriesSpec = WELL_SERIES, **options) -> DataFrame:
+    """Raw files to Gold; before each layer the shuffles are sized to its input."""
+    fit_shuffle(spark, size_of(spark, raw_dir))
+    bronze_rows = run_bronze(spark, raw_dir, f"{out}/bronze", spec)
+    fit_shuffle(spark, size_of(spark, f"{out}/bronze"))
+    silver_rows = run_silver(bronze_rows, f"{out}/silver", spec)
+    return run_gold(silver_rows, f"{out}/gold", spec, **options)

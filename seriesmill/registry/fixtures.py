@@ -21,6 +21,16 @@ LINES = SeriesSpec(
         "l_tax": (0.01, 0.07),
     },
 )
+# Six keys over the whole table, the case of a key that holds a large share of the rows.
+HEAVY = SeriesSpec(
+    entity="l_linestatus",
+    label="l_returnflag",
+    ts="l_shipdate",
+    tiebreak=("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
+    sensors=LINES.sensors,
+    ranges=LINES.ranges,
+    max_rows_per_task=3_000,
+)
 LINE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 CLASSES = ("A", "N", "R")
 
@@ -38,6 +48,10 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").select(*LINES.meta, *LINES.sensors)
 
 
+def heavy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").select(*HEAVY.meta, *HEAVY.sensors)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("double").alias("k")
     return read(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", "value", k)

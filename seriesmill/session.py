@@ -29,6 +29,19 @@ def build_session(app: str = "seriesmill", master: str | None = None, partitions
     return builder.getOrCreate()
 
 
+def fit_shuffle(spark: SparkSession, input_bytes: int, task_bytes: int = 128 << 20, growth: int = 3) -> int:
+    """Raise the shuffle partitions to the size of the input; never lower them.
+
+    Adaptive execution joins partitions that turn out small but splits none of a
+    window, so the number must be large enough from the start.  ``growth`` is how
+    much larger rows are in a shuffle than in Parquet.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, -(-input_bytes * growth // task_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

@@ -77,6 +77,17 @@ def validate_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> D
     return listed.mapInPandas(read, FOOTER_SCHEMA)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of the Parquet files under ``path``, from the listing."""
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+    )
+    return listed.agg(F.sum("length")).first()[0] or 0
+
+
 def corrupt_report(spark: SparkSession, path: str) -> DataFrame:
     """Files that a tolerant scan leaves out, with the reason."""
     return validate_files(spark, path).where("NOT valid").select("path", "error")
@@ -92,8 +103,9 @@ def read_by_shape(spark: SparkSession, path: str, exclude: Sequence[str] = ()) -
     if exclude:
         checked = checked.where(~F.element_at(F.split("path", "/"), -1).isin(*exclude))
     shapes = [r[0] for r in checked.select("columns").distinct().limit(SMALL_ROWS).collect()]
-    if len(shapes) == 1 and not exclude:
-        return [_read(spark, [path])]
+    if len(shapes) == 1:
+        whole = _read(spark, [path])
+        return [whole.where(~F.col("_metadata.file_name").isin(*exclude)) if exclude else whole]
     # the driver lists files for every scan; here it keeps their names by shape
     return [
         _read(spark, [r[0] for r in checked.where(F.col("columns") == s).select("path").collect()]) for s in shapes

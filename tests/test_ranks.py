@@ -45,6 +45,15 @@ def test_cuts_without_collecting(spark, monkeypatch, small):
     assert ranks.keys_at(rows, ["e", "t"], [0.0, 0.7, 0.85, 0.999]) == want
 
 
+@pytest.mark.parametrize("by_time", [False, True])
+def test_train_rows_are_pruned_in_the_scan(spark, tmp_path, by_time):
+    table(spark, 300, 40).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    made = (split.time_split if by_time else split.ordinal_split)(rows, SPEC)
+    plan = made.where("split = 'train'")._jdf.queryExecution().executedPlan().toString()
+    assert f"LessThanOrEqual({'t' if by_time else 'e'}," in plan
+
+
 def test_missing_times_sort_last(spark):
     rows = spark.createDataFrame([("a", None), ("a", 1), ("a", 2), (None, 1)], "e string, t int")
     made = rows.withColumn("split", split.split_column(rows, ["e", "t"], (0.5, 0.75)))

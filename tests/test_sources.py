@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.operators import features as feat
 from seriesmill.plans import medallion
+from seriesmill.session import fit_shuffle
 from seriesmill.sources import catalog, files, tables
 from seriesmill.sources.connectors import JdbcTarget, object_store_conf
 from seriesmill.spec import WELL_SENSORS, WELL_SERIES, event_labels
@@ -87,6 +88,15 @@ def test_layers_end_to_end(spark, raw, tmp_path):
     assert parts == ["split=test", "split=train", "split=val"]
 
 
+def test_run_all_sizes_the_shuffles(spark, raw, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    gold = medallion.run_all(spark, str(raw), str(tmp_path / "out"))
+    assert gold.count() > 0
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before  # a few kilobytes need no more
+    assert fit_shuffle(spark, 10 << 30) == 240
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_gold_by_time_and_drop_any(spark, raw, tmp_path):
     times = pd.date_range("2024-01-01", periods=40, freq="1s")
     rows = [(t.to_pydatetime(), w, 0, "Normal", *([float(i)] * 8)) for w in ("a", "b") for i, t in enumerate(times)]
