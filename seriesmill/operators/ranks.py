@@ -102,24 +102,30 @@ def _descend(narrow: DataFrame, names: Sequence[str], levels: list, start: tuple
     return known
 
 
-def label_by_rank(
-    df: DataFrame, names: Sequence[str], fractions: Sequence[float], labels: Sequence[str]
+def rows_before(df: DataFrame, names: Sequence[str], cut: list | None) -> Column:
+    """Whether a row sorts before the cut; all do if the cut is past the end.
+
+    As a filter, its first part is simple enough for the scan to skip row groups
+    and, on a window key, to pass below the window.
+    """
+    if cut is None:
+        return F.lit(True)
+    inside = before([sortable(df, n) for n in names], cut)
+    if cut[0] is None:
+        return inside
+    return (F.col(names[0]) <= from_sortable(df, names[0], cut[0])) & inside
+
+
+def label_by_cuts(
+    df: DataFrame, names: Sequence[str], cuts: Sequence[list | None], labels: Sequence[str]
 ) -> Column:
-    """Name of the stretch of the order that a row falls in; ``labels`` has one more entry.
+    """Name of the stretch of the order that a row falls in; ``labels`` has one more entry than cuts.
 
     Rows equal in all order columns stay on one side of a cut.
     """
-    columns = [sortable(df, n) for n in names]
     result = F.lit(labels[-1])
-    for cut, label in reversed(list(zip(keys_at(df, names, fractions), labels))):
-        if cut is None:
-            result = F.lit(label)
-        else:
-            inside = before(columns, cut)
-            if cut[0] is not None:
-                # implied by the rest, and simple enough for the scan to skip row groups
-                inside = (F.col(names[0]) <= from_sortable(df, names[0], cut[0])) & inside
-            result = F.when(inside, F.lit(label)).otherwise(result)
+    for cut, label in reversed(list(zip(cuts, labels))):
+        result = F.when(rows_before(df, names, cut), F.lit(label)).otherwise(result)
     return result
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesmill.operators.profile import discriminative, imbalance, null_pct
@@ -41,11 +41,12 @@ def require_gates(df: DataFrame, **kwargs) -> None:
         raise ValueError(f"quality gates failed: {', '.join(failed)}")
 
 
-def model_report(base: DataFrame, tuned: DataFrame) -> DataFrame:
+def model_report(base: DataFrame, tuned: DataFrame, sensors: DataFrame | None = None) -> DataFrame:
     """Validation and test scores per model, the tuned score and the gain in points.
 
     ``base`` has ``model, split, accuracy, f1_weighted, f1_macro``; ``tuned`` has
-    ``model, f1_tuned``.  A model that was not tuned keeps its score.
+    ``model, f1_tuned``; ``sensors``, if given, ``model, sensor, pct``, of which the
+    strongest sensor is shown.  A model that was not tuned keeps its score.
     """
 
     def pick(split: str, column: str):
@@ -57,12 +58,59 @@ def model_report(base: DataFrame, tuned: DataFrame) -> DataFrame:
         pick("test", "accuracy").alias("accuracy_test"),
     )
     joined = wide.join(tuned.select("model", "f1_tuned"), "model", "left")
+    if sensors is not None:
+        top = sensors.groupBy("model").agg(
+            F.max_by("sensor", F.struct("pct", "sensor")).alias("top_sensor"), F.max("pct").alias("top_sensor_pct")
+        )
+        joined = joined.join(top, "model", "left")
     best = F.coalesce("f1_tuned", "f1_test")
     return joined.withColumns(
         {"f1_tuned": best, "gain_points": F.greatest((best - F.col("f1_test")) * 100.0, F.lit(0.0))}
     )
 
 
+_SCORES = "struct<accuracy: double, f1_weighted: double, f1_macro: double>"
+METRICS_SCHEMA = f"model string, val {_SCORES}, test {_SCORES}, top5_features array<string>"
+
+
+def metrics_documents(base: DataFrame, importance: DataFrame, top: int = 5) -> DataFrame:
+    """One JSON document per model: its scores on both splits and its strongest features.
+
+    ``importance`` has ``model, feature, importance``.
+    """
+
+    def scores(split: str):
+        return F.max(F.when(F.col("split") == split, F.struct("accuracy", "f1_weighted", "f1_macro")))
+
+    wide = base.groupBy("model").agg(scores("val").alias("val"), scores("test").alias("test"))
+    w = Window.partitionBy("model").orderBy(F.col("importance").desc(), "feature")
+    ranked = importance.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= top)
+    named = ranked.groupBy("model").agg(F.sort_array(F.collect_list(F.struct("_rank", "feature"))).alias("_top"))
+    joined = wide.join(named, "model", "left").withColumn("top5_features", F.col("_top.feature"))
+    return joined.select(F.to_json(F.struct("model", "val", "test", "top5_features")).alias("document"))
+
+
+def metrics_from_documents(documents: DataFrame) -> DataFrame:
+    """Back to ``model, split, accuracy, f1_weighted, f1_macro, top5_features``."""
+    read = documents.select(F.from_json("document", METRICS_SCHEMA).alias("m")).select("m.*")
+    sides = F.array(
+        *[F.struct(F.lit(s).alias("split"), F.col(s).alias("s")) for s in ("val", "test")]
+    )
+    return read.select("model", "top5_features", F.inline(sides)).select("model", "split", "s.*", "top5_features")
+
+
+def thresholds_document(thresholds: dict[str, dict], spark: SparkSession) -> DataFrame:
+    """``model`` and a JSON map of class to threshold."""
+    rows = [(m, {str(c): float(t) for c, t in by_class.items()}) for m, by_class in thresholds.items()]
+    table = spark.createDataFrame(rows, "model string, thresholds map<string, double>")
+    return table.select("model", F.to_json("thresholds").alias("document"))
+
+
+def thresholds_from_document(documents: DataFrame) -> DataFrame:
+    parsed = F.from_json("document", "map<string, double>")
+    return documents.select("model", F.explode(parsed).alias("class", "threshold"))
+
+
 def exec_summary(df: DataFrame, spec: SeriesSpec, feature_count: int, split: str = "split") -> DataFrame:
     """One row: size, balance, worst missing share, best sensor, features, split sizes."""
     balance = imbalance(df, spec.label).select("classes", "ratio")

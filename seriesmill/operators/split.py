@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import hash_key
-from seriesmill.operators.ranks import bounded, hash_cuts, label_by_rank
+from seriesmill.operators.ranks import bounded, hash_cuts, keys_at, label_by_cuts
 from seriesmill.operators.slices import attach
 from seriesmill.spec import SeriesSpec
 
@@ -17,7 +17,7 @@ CUTS = (0.70, 0.70 + 0.15)
 
 
 def split_column(df: DataFrame, order: Sequence[str], cuts: Sequence[float] = CUTS) -> Column:
-    return label_by_rank(df, order, cuts, SPLITS)
+    return label_by_cuts(df, order, keys_at(df, order, cuts), SPLITS)
 
 
 def ordinal_split(df: DataFrame, spec: SeriesSpec, cuts: Sequence[float] = CUTS) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from seriesmill.operators import features as feat
 from seriesmill.operators import scale
+from seriesmill.operators.ranks import keys_at, label_by_cuts, rows_before
 from seriesmill.operators.silver import silver
-from seriesmill.operators.split import split_column
+from seriesmill.operators.split import CUTS, SPLITS
 from seriesmill.session import fit_shuffle
 from seriesmill.sources.bronze import LABEL_TEXT, bronze
 from seriesmill.sources.catalog import enrich
@@ -65,9 +66,10 @@ def gold(
     rows = made.select(spec.entity, spec.ts, *spec.tiebreak) if null_policy == "drop_any" else df
     if null_policy == "zero":
         rows = feat.drop_all_null(df, spec)
-    split = split_column(rows, (*order, *spec.tiebreak))
-    placed = made.withColumn("split", split)
-    stats = scale.fit_scaler(placed.where("split = 'train'"), spec.features, ddof)
+    names = (*order, *spec.tiebreak)
+    cuts = keys_at(rows, names, CUTS)
+    placed = made.withColumn("split", label_by_cuts(rows, names, cuts, SPLITS))
+    stats = scale.fit_scaler(made.where(rows_before(rows, names, cuts[0])), spec.features, ddof)
     fitted = scale.stats_map(stats)
     stats = df.sparkSession.createDataFrame([(f, m, s) for f, (m, s) in fitted.items()], scale.STATS_SCHEMA)
     return scale.zscore(placed, fitted, spec.features, [*spec.meta, *keep, "split"]), stats

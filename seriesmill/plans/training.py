@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.operators import attribution, evaluate, model, sample, threshold
-from seriesmill.operators.report import model_report, require_gates
+from seriesmill.operators.report import metrics_documents, model_report, require_gates, thresholds_document
 from seriesmill.operators.split import resplit_if_needed
 from seriesmill.session import materialise
+from seriesmill.sources.files import union_missing, write_json
 from seriesmill.spec import SeriesSpec
 
 TRAINERS = {
@@ -54,11 +55,23 @@ def train_and_tune(
     return {
         "models": fitted,
         "thresholds": thresholds,
+        "scores": base,
         "report": model_report(base, tuned),
         "rows": rows,
     }
 
 
+def write_reports(done: dict, out: str) -> None:
+    """Save the models, and their metrics, thresholds and comparison as JSON."""
+    spark = done["rows"].sparkSession
+    for name, fitted in done["models"].items():
+        fitted.save(spark, f"{out}/models/{name}")
+    tables = [m.importance(spark).withColumn("model", F.lit(n)) for n, m in done["models"].items()]
+    write_json(metrics_documents(done["scores"], union_missing(tables)), f"{out}/metrics")
+    write_json(thresholds_document(done["thresholds"], spark), f"{out}/thresholds")
+    write_json(done["report"], f"{out}/report")
+
+
 def score_index(fitted: model.EventModel, rows: DataFrame, label: str) -> DataFrame:
     """``y``, the label index, and ``p`` for every row, with its split."""
     index = F.array_position(F.array(*[F.lit(x) for x in fitted.labels]), F.col(label)) - 1

@@ -122,6 +122,10 @@ def evaluate_pair(spark, d):
     return tidy(evaluate.evaluate_pair(decided(spark, d), "y", "plain", "tuned"))
 
 
+SENSOR_SUMS = f"""WITH {AT_CTE}, g AS (SELECT feature, avg(abs(value)) AS mean_abs FROM att GROUP BY 1),
+  s AS (SELECT {SENSOR_CASE} AS sensor, sum(mean_abs) AS importance FROM g GROUP BY 1)"""
+
+
 def _model_sql() -> str:
     base, tuned = [], []
     for m in ROTATIONS:
@@ -133,9 +137,11 @@ def _model_sql() -> str:
     return f"""WITH b AS ({' UNION ALL '.join(base)}), t AS ({' UNION ALL '.join(tuned)}),
       w AS (SELECT model, max(f1_macro) FILTER (split = 'val') AS f1_val, max(f1_macro) FILTER (split = 'test') AS f1_test,
                    max(accuracy) FILTER (split = 'test') AS accuracy_test FROM b GROUP BY model)
-      SELECT model, {r6('f1_val', 'f1_val')}, {r6('f1_test', 'f1_test')}, {r6('accuracy_test', 'accuracy_test')},
+      SELECT model, top_sensor, {r6('top_sensor_pct', 'top_sensor_pct')}, {r6('f1_val', 'f1_val')}, {r6('f1_test', 'f1_test')}, {r6('accuracy_test', 'accuracy_test')},
              {r6('coalesce(f1_tuned, f1_test)', 'f1_tuned')}, {r6('greatest((coalesce(f1_tuned, f1_test) - f1_test) * 100, 0)', 'gain_points')}
-      FROM w LEFT JOIN t USING (model)"""
+      FROM w LEFT JOIN t USING (model) LEFT JOIN (
+        {SENSOR_SUMS}, p AS (SELECT sensor, importance * 100 / sum(importance) OVER () AS pct FROM s)
+        SELECT 'lgb' AS model, max(pct) AS top_sensor_pct, arg_max(sensor, pct) AS top_sensor FROM p) USING (model)"""
 
 
 @query("model_report", _model_sql())
@@ -152,7 +158,35 @@ def model_report(spark, d):
     def union(parts):
         return reduce(lambda a, b: a.unionByName(b), parts)
 
-    return tidy(report.model_report(union(base), union(tuned)))
+    shares = attribution.sensor_importance(attribution.global_importance(attributions(spark, d)), LINES.sensors)
+    return tidy(report.model_report(union(base), union(tuned), shares.withColumn("model", F.lit("lgb"))))
+
+
+def _metrics_sql() -> str:
+    sides = " UNION ALL ".join(
+        f"SELECT '{m}' AS model, * FROM ({scores_sql(f'(SELECT *, {PLAIN_SQL} AS plain FROM ({decisions_sql(m)}))', 'plain', 'split')})"
+        for m in ROTATIONS
+    )
+    return f"""WITH {AT_CTE}, b AS ({sides}),
+      t AS (SELECT feature FROM att GROUP BY feature ORDER BY avg(abs(value)) DESC, feature LIMIT 5)
+      SELECT model, split, {r6('accuracy', 'accuracy')}, {r6('f1_weighted', 'f1_weighted')}, {r6('f1_macro', 'f1_macro')},
+             (SELECT string_agg(feature, ',' ORDER BY feature) FROM t) AS features FROM b"""
+
+
+@query("metrics_json", _metrics_sql())
+def metrics_json(spark, d):
+    base = [
+        evaluate.f1_summary(evaluate.counts(decided(spark, d, m), "y", "plain", ["split"]), ["split"]).withColumn(
+            "model", F.lit(m)
+        )
+        for m in ROTATIONS
+    ]
+    overall = attribution.global_importance(attributions(spark, d)).withColumnRenamed("mean_abs", "importance")
+    models = F.explode(F.array(*[F.lit(m) for m in ROTATIONS])).alias("model")
+    documents = report.metrics_documents(reduce(lambda a, b: a.unionByName(b), base), overall.select("*", models))
+    back = report.metrics_from_documents(documents)
+    named = F.concat_ws(",", F.sort_array("top5_features")).alias("features")
+    return tidy(back.select("model", "split", "accuracy", "f1_weighted", "f1_macro", named))
 
 
 @query(
@@ -231,10 +265,6 @@ def attr_global(spark, d):
     return tidy(attribution.global_importance(attributions(spark, d)))
 
 
-SENSOR_SUMS = f"""WITH {AT_CTE}, g AS (SELECT feature, avg(abs(value)) AS mean_abs FROM att GROUP BY 1),
-  s AS (SELECT {SENSOR_CASE} AS sensor, sum(mean_abs) AS importance FROM g GROUP BY 1)"""
-
-
 @query(
     "attr_sensor",
     f"{SENSOR_SUMS} SELECT sensor, {r6('importance', 'importance')}, {r6('importance * 100 / sum(importance) OVER ()', 'pct')} FROM s",

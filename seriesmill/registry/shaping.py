@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesmill.operators import features as feat
-from seriesmill.operators import sample, scale, silver, split
+from seriesmill.operators import ranks, sample, scale, silver, split
 from seriesmill.plans.medallion import gold as to_gold
 from seriesmill.registry.book import query, r6, read, tidy
 from seriesmill.registry.fixtures import (
@@ -125,7 +125,8 @@ TRAIN = f"(SELECT * FROM ({LINE_SPLIT}) WHERE split = 'train')"
 
 
 def train_rows(spark, d):
-    return split.ordinal_split(lines(spark, d), LINES).where("split = 'train'")
+    rows, names = lines(spark, d), (LINES.entity, LINES.ts, *LINES.tiebreak)
+    return rows.where(ranks.rows_before(rows, names, ranks.keys_at(rows, names, split.CUTS)[0]))
 
 
 @query("fit_scaler", rounded_stats(LINES.sensors, TRAIN))

@@ -7,8 +7,9 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from seriesmill.operators import attribution, model, scale, split
+from seriesmill.operators import attribution, model, report, scale, split
 from seriesmill.plans import scoring, training
+from seriesmill.sources import files
 from seriesmill.spec import SeriesSpec, event_labels
 
 SPEC = SeriesSpec(entity="e", label="c", ts="t", sensors=("u", "v"), windows=(3,), lags=(1,))
@@ -90,16 +91,24 @@ def test_importance_and_curve(spark, rows, forest, boosted):
     assert train == sorted(train, reverse=True)
 
 
-def test_training_plan(rows):
+def test_training_plan(spark, rows, tmp_path):
     done = training.train_and_tune(
         rows, SPEC, NAMES, ["e", "t"], models=("rf",), max_rows=800, min_features=2, steps=10, params={"rf": {"numTrees": 5, "maxDepth": 4}}
     )
+    training.write_reports(done, str(tmp_path))
+    back = report.metrics_from_documents(files.read_json(spark, str(tmp_path / "metrics"), "document string")).collect()
+    assert {(r["model"], r["split"]) for r in back} == {("rf", "val"), ("rf", "test")}
+    assert set(back[0]["top5_features"]) == set(NAMES)
+    found = report.thresholds_from_document(files.read_json(spark, str(tmp_path / "thresholds"), "model string, document string"))
+    assert {r["class"]: r["threshold"] for r in found.collect()} == {str(c): t for c, t in done["thresholds"]["rf"].items()}
     row = done["report"].first()
     assert row["model"] == "rf" and 0.5 < row["f1_test"] <= 1.0 and row["gain_points"] >= 0
     assert set(done["thresholds"]["rf"]) == {0, 4, 7}
     values = training.explain(done["rows"], done["models"]["rf"], "c", ["e", "t"], 20)
     shares = attribution.sensor_importance(attribution.global_importance(values.where("feature <> 'bias'")), SPEC.sensors)
     assert shares.agg(F.sum("pct")).first()[0] == pytest.approx(100.0)
+    documents = attribution.attribution_json(attribution.attribution_report(values, SPEC.sensors)).collect()
+    assert len(documents) == 3 and "u_norm" in documents[0]["top_features"]
 
 
 def test_scoring_of_a_new_series(spark, forest):

@@ -49,8 +49,11 @@ def test_cuts_without_collecting(spark, monkeypatch, small):
 def test_train_rows_are_pruned_in_the_scan(spark, tmp_path, by_time):
     table(spark, 300, 40).write.parquet(str(tmp_path / "t"))
     rows = spark.read.parquet(str(tmp_path / "t"))
-    made = (split.time_split if by_time else split.ordinal_split)(rows, SPEC)
-    plan = made.where("split = 'train'")._jdf.queryExecution().executedPlan().toString()
+    names = ["t", "e"] if by_time else ["e", "t"]
+    cut = ranks.keys_at(rows, names, [0.7])[0]
+    train = rows.where(ranks.rows_before(rows, names, cut))
+    assert train.count() == 210
+    plan = train._jdf.queryExecution().executedPlan().toString()
     assert f"LessThanOrEqual({'t' if by_time else 'e'}," in plan
 
 
