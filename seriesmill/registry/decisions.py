@@ -249,7 +249,7 @@ def top_features(spark, d):
 
 
 BY_CLASS = f"WITH {AT_CTE}, c AS (SELECT class, feature, avg(abs(value)) AS mean_abs FROM att GROUP BY 1, 2)"
-TOP = "row_number() OVER (PARTITION BY class ORDER BY mean_abs DESC, feature)"
+TOP = "row_number() OVER (PARTITION BY class ORDER BY mean_abs DESC, feature)::INT"
 
 
 @query(

@@ -86,7 +86,7 @@ def class_sensor_stats(spark, d):
     "discriminative",
     f"""WITH m AS (SELECT l_returnflag, sensor, avg(value) AS mean FROM ({long_sql(RANGED)}) GROUP BY 1, 2),
              p AS (SELECT sensor, stddev_samp(mean) AS power FROM m GROUP BY sensor)
-        SELECT sensor, {r6('power', 'power')}, row_number() OVER (ORDER BY power DESC NULLS LAST, sensor) AS rank,
+        SELECT sensor, {r6('power', 'power')}, row_number() OVER (ORDER BY power DESC NULLS LAST, sensor)::INT AS rank,
                power >= median(power) OVER () AS above_median, power = max(power) OVER () AS best, power = min(power) OVER () AS worst
         FROM p""",
 )
