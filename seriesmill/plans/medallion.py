@@ -12,7 +12,7 @@ from seriesmill.operators import scale
 from seriesmill.operators.ranks import keys_at, label_by_cuts, rows_before
 from seriesmill.operators.silver import silver
 from seriesmill.operators.split import CUTS, SPLITS
-from seriesmill.session import fit_shuffle
+from seriesmill.session import fitted_shuffle
 from seriesmill.sources.bronze import LABEL_TEXT, bronze
 from seriesmill.sources.catalog import enrich
 from seriesmill.sources.files import read_by_shape, size_of, union_missing, write_json, write_table
@@ -84,9 +84,9 @@ def run_gold(df: DataFrame, out: str, spec: SeriesSpec = WELL_SERIES, **options)
 
 
 def run_all(spark: SparkSession, raw_dir: str, out: str, spec: SeriesSpec = WELL_SERIES, **options) -> DataFrame:
-    """Raw files to Gold; before each layer the shuffles are sized to its input."""
-    fit_shuffle(spark, size_of(spark, raw_dir))
-    bronze_rows = run_bronze(spark, raw_dir, f"{out}/bronze", spec)
-    fit_shuffle(spark, size_of(spark, f"{out}/bronze"))
-    silver_rows = run_silver(bronze_rows, f"{out}/silver", spec)
-    return run_gold(silver_rows, f"{out}/gold", spec, **options)
+    """Raw files to Gold; while a layer runs, its shuffles are sized to its input."""
+    with fitted_shuffle(spark, size_of(spark, raw_dir)):
+        bronze_rows = run_bronze(spark, raw_dir, f"{out}/bronze", spec)
+    with fitted_shuffle(spark, size_of(spark, f"{out}/bronze")):
+        silver_rows = run_silver(bronze_rows, f"{out}/silver", spec)
+        return run_gold(silver_rows, f"{out}/gold", spec, **options)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Rows a driver may hold, or a broadcast may carry, after the count was checked.
 SMALL_ROWS = 10_000
-_LOCAL_DIRS: dict[str, str] = {}
 
 
 def build_session(app: str = "seriesmill", master: str | None = None, partitions: int | None = None) -> SparkSession:
@@ -29,35 +29,37 @@ def build_session(app: str = "seriesmill", master: str | None = None, partitions
     return builder.getOrCreate()
 
 
-def fit_shuffle(spark: SparkSession, input_bytes: int, task_bytes: int = 128 << 20, growth: int = 3) -> int:
-    """Raise the shuffle partitions to the size of the input; never lower them.
+@contextmanager
+def fitted_shuffle(
+    spark: SparkSession, input_bytes: int, task_bytes: int = 128 << 20, growth: int = 3
+) -> Iterator[int]:
+    """Raise the shuffle partitions to the size of the input while the block runs.
 
     Adaptive execution joins partitions that turn out small but splits none of a
     window, so the number must be large enough from the start.  ``growth`` is how
-    much larger rows are in a shuffle than in Parquet.
+    much larger rows are in a shuffle than in Parquet.  The caller's setting comes
+    back afterwards, so only work that runs inside the block sees the larger one.
     """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, -(-input_bytes * growth // task_bytes))
+    current = spark.conf.get("spark.sql.shuffle.partitions")
+    wanted = max(int(current), -(-input_bytes * growth // task_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    try:
+        yield wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", current)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """This application's folder in ``spark.checkpoint.dir``, else in the warehouse.
 
-    Only a local session may fall back to a folder of its own machine.
+    Both are shared by driver and executors; a machine's own temporary folder is never used.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="seriesmill-")
-    return _LOCAL_DIRS[app]
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -67,7 +69,7 @@ def use_checkpoints(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
@@ -79,3 +81,12 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete all that this application has written with ``materialise``.
+
+    Call it when the results are written: frames that read scratch tables fail afterwards.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

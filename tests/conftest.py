@@ -10,11 +10,16 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    from pyspark.sql import SparkSession
+
     from seriesmill.session import build_session
 
+    shared = tmp_path_factory.mktemp("shared").as_uri()
+    SparkSession.builder.config("spark.checkpoint.dir", shared).config("spark.driver.memory", "6g")
     session = build_session("tests", "local[8]", 4)
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
     yield session
     session.stop()
 

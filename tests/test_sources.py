@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.operators import features as feat
 from seriesmill.plans import medallion
-from seriesmill.session import fit_shuffle
+from seriesmill.session import fitted_shuffle
 from seriesmill.sources import catalog, files, tables
 from seriesmill.sources.connectors import JdbcTarget, object_store_conf
 from seriesmill.spec import WELL_SENSORS, WELL_SERIES, event_labels
@@ -93,8 +93,9 @@ def test_run_all_sizes_the_shuffles(spark, raw, tmp_path):
     gold = medallion.run_all(spark, str(raw), str(tmp_path / "out"))
     assert gold.count() > 0
     assert spark.conf.get("spark.sql.shuffle.partitions") == before  # a few kilobytes need no more
-    assert fit_shuffle(spark, 10 << 30) == 240
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+    with fitted_shuffle(spark, 10 << 30) as wanted:
+        assert wanted == 240 == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
 def test_gold_by_time_and_drop_any(spark, raw, tmp_path):
