@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest table, in bytes as measured before, that is sent to every executor.
 BROADCAST_BYTES = 64 << 20
+# Texts that one call of a Python operator holds.
+PER_CALL = 256
 
 
 def broadcast_checked(df: DataFrame, size: Column, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -93,15 +96,23 @@ def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
     return made
 
 
-def chunked(frames: Iterator, weight: str, most: int) -> Iterator:
-    """Cut frames into pieces of at most ``most`` characters of column ``weight``, one row at least."""
-    for frame in frames:
-        size, first = 0, 0
-        for i, value in enumerate(frame[weight]):
-            n = len(value) if value is not None else 0
-            if i > first and size + n > most:
-                yield frame.iloc[first:i]
-                size, first = 0, i
-            size += n
-        if first < len(frame):
-            yield frame.iloc[first:]
+def map_texts(df: DataFrame, keep: list[str], column: str, schema: str, made: Callable[[list], dict]) -> DataFrame:
+    """Apply ``made`` to the texts of every Arrow batch.
+
+    ``keep`` columns come out as they went in, nulls and types included; ``made`` returns the
+    other columns of ``schema`` as lists.  Each row's text is the only one in Python for long:
+    batches are cut so that one holds few texts.
+    """
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    whole = f"{kinds}, {schema}" if keep else schema
+    names = [part.split()[0] for part in schema.split(",")]
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, PER_CALL):
+                part = batch.slice(first, PER_CALL)
+                out = made(part.column(column).to_pylist())
+                arrays = [part.column(c) for c in keep] + [pa.array(out[n]) if len(out[n]) else pa.nulls(0) for n in names]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])
+
+    return df.select(*keep, *({column} - {*keep})).mapInArrow(over, whole)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import decontaminate
+from seriesmill.llm import decontaminate, html_text, licences, pii, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,58 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 @query("op10_decontamination", OP10_SQL)
 def op10(spark, sf_dir):
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op9_pii")
+def op9(spark, sf_dir):
+    return pii.digest(read(spark, sf_dir, "documents"))
+
+
+@query("op3_html_extraction")
+def op3(spark, sf_dir):
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+s AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM s WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM s LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query("op7_warc", OP7_SQL)
+def op7(spark, sf_dir):
+    index = warc.write_archives(read(spark, sf_dir, "pages"))
+    records = warc.read_records(index, payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _canonical_sql(table: str, key: str) -> str:
+    pairs = ", ".join(f"'{a}': '{b}'" for a, b in sorted(licences.EQUIVALENT.items()))
+    return f"""
+  SELECT {key}, list_transform(string_split(regexp_replace(regexp_replace(lower(text), '{licences.COPYRIGHT_LINE}', '', 'g'),
+    '{licences.NOT_WORD}', ' ', 'g'), chr(10)), lambda l: array_to_string(list_transform(string_split(trim(l), ' '),
+    lambda w: coalesce(MAP {{{pairs}}}[w], w)), ' ')) AS lines FROM {table}"""
+
+
+_KNOWN_SQL = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in licences.KNOWN)
+
+OP8_SQL = rf"""
+WITH known AS (SELECT * FROM (VALUES {_KNOWN_SQL}) t(license_id, text)),
+k AS ({_canonical_sql("known", "license_id")}),
+ids AS (SELECT sha256(array_to_string(list_filter(lines, lambda x: x <> ''), ' ')) AS digest, min(license_id) AS license_id FROM k GROUP BY 1),
+d AS ({_canonical_sql("documents", "doc_id")}),
+whole AS (SELECT doc_id, array_to_string(list_filter(lines, lambda x: x <> ''), ' ') AS form FROM d),
+l AS (SELECT DISTINCT doc_id, license_id FROM (SELECT doc_id, unnest(lines) AS line FROM d) JOIN ids ON sha256(line) = digest WHERE line <> ''),
+n AS (SELECT doc_id, string_agg(license_id, ',' ORDER BY license_id) AS notices FROM l GROUP BY doc_id),
+w AS (SELECT doc_id, CASE WHEN form <> '' THEN sha256(form) END AS digest FROM whole)
+SELECT doc_id, digest, license_id, coalesce(notices, '') AS notices FROM w LEFT JOIN ids USING (digest) LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op8_licence_scan", OP8_SQL)
+def op8(spark, sf_dir):
+    return licences.scan(read(spark, sf_dir, "documents"))
