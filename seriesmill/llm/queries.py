@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import decontaminate, html_text, licences, pii, warc
+from seriesmill.llm import codec, decontaminate, html_text, licences, pii, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,13 @@ SELECT doc_id, digest, license_id, coalesce(notices, '') AS notices FROM w LEFT
 @query("op8_licence_scan", OP8_SQL)
 def op8(spark, sf_dir):
     return licences.scan(read(spark, sf_dir, "documents"))
+
+
+@query("op6_token_counts")
+def op6(spark, sf_dir):
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"))
+
+
+@query("op5_bpe_codec")
+def op5(spark, sf_dir):
+    return codec.digests(read(spark, sf_dir, "documents"))
