@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import codec, decontaminate, html_text, licences, pii, token_counts, warc
+from seriesmill.llm import codec, decontaminate, html_text, jaccard, licences, pii, token_counts, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,36 @@ def op6(spark, sf_dir):
 @query("op5_bpe_codec")
 def op5(spark, sf_dir):
     return codec.digests(read(spark, sf_dir, "documents"))
+
+
+OP1_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v::DOUBLE[], d.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op1_exact_top_k", OP1_SQL)
+def op1(spark, sf_dir):
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
+OP4_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * x >= 80 * (na.n + nb.n - x)),
+r AS (SELECT doc_id, doc_id AS x FROM w UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.x = e.a)
+SELECT r.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.x) AS component_id
+FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
+"""
+
+
+@query("op4_jaccard_join", OP4_SQL)
+def op4(spark, sf_dir):
+    return jaccard.jaccard_join(read(spark, sf_dir, "documents"))
