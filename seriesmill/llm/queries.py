@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmill.llm import codec, decontaminate, html_text, jaccard, licences, pii, token_counts, topk, warc
+from seriesmill.llm import codec, decontaminate, html_text, jaccard, licences, pii, token_counts, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +150,8 @@ FROM r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
 @query("op4_jaccard_join", OP4_SQL)
 def op4(spark, sf_dir):
     return jaccard.jaccard_join(read(spark, sf_dir, "documents"))
+
+
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
