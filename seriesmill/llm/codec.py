@@ -1,10 +1,10 @@
 """BPE encoding by a table of distinct words, and decoding by a join of ids to pieces.
 
 Documents are cut into pieces ("words" with the space before them) in chunks of whole
-documents.  A chunk sends each of its distinct words once to the partition of that word, where every
-distinct word is encoded once for all chunks; the ids go back to the chunk and are joined to its
-positions.  So neither positions nor texts are shuffled, only word lists and, compressed,
-the word numbers of each position; a word that fills a third of all rows arrives once per chunk.
+documents.  A chunk sends each of its distinct words once to the bucket of that word, packed with the others of that
+bucket; there every distinct word is encoded once for all chunks.  The ids go back to the chunk and are joined to its
+positions.  What is shuffled is packed word lists and packed word numbers of the positions, no texts and no
+row per word; a word that fills a third of all positions arrives once per chunk.
 
 A chunk is known by a hash of its rows, so that both passes over the input name it alike
 whatever task they run in; the input must come in a stable order (a written table does).
@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from hashlib import blake2b
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from seriesmill.llm.bpe import tokenizer_path, vocabulary
 from seriesmill.llm.common import map_texts
 
-CHUNK_CHARS = 12 << 20
+CHUNK_CHARS = 4 << 20
+BUCKETS = 256  # of words, at most 256; a task holds the distinct words of one bucket at a time
 
 
 class _Chunk:
@@ -83,85 +85,138 @@ def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, wanted:
     return values[np.repeat(shift, n) + np.arange(total)]
 
 
+def _pack(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _pack_numbers(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, all low bytes first, so that small ones pack well."""
+    return _pack(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpack_numbers(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(_unpack(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
+def _pack_lists(rows: list[bytes]) -> bytes:
+    lengths = _pack_numbers(np.fromiter(map(len, rows), np.int64, len(rows)))
+    return len(lengths).to_bytes(8, "little") + lengths + _pack(b"".join(rows))
+
+
+def _unpack_lists(packed: bytes) -> tuple[np.ndarray, bytes]:
+    cut = 8 + int.from_bytes(packed[:8], "little")
+    return _unpack_numbers(packed[8:cut]).astype(np.int64), _unpack(packed[cut:])
+
+
+def _bucket_of(word: bytes) -> int:
+    return crc32(word) % BUCKETS
+
+
 def encode(docs: DataFrame, path: str | None = None, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """doc_id, ids: the token ids as little-endian unsigned 32-bit numbers."""
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        id_type = None
-        for batch in _typed(batches):
-            id_type = batch[0]
-            for chunk in _chunks(batch[1], path or tokenizer_path(), chunk_chars):
-                codes = np.concatenate(chunk.codes).astype("<u4")
-                packed = pa.compress(codes.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+        for id_type, stream in _typed(batches):
+            for chunk in _chunks(stream, path or tokenizer_path(), chunk_chars):
+                buckets = bytes(_bucket_of(w.encode()) for w in chunk.numbers)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([chunk.name]),
                         pa.array([chunk.ids], pa.list_(id_type)),
                         pa.array([chunk.sizes], pa.list_(pa.int64())),
-                        pa.array([packed], pa.binary()),
+                        pa.array([_pack_numbers(np.concatenate(chunk.codes))], pa.binary()),
+                        pa.array([_pack(buckets)], pa.binary()),
                     ],
-                    names=["chunk", "doc_ids", "sizes", "codes"],
+                    names=["chunk", "doc_ids", "sizes", "codes", "buckets"],
                 )
 
     def worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, path or tokenizer_path(), chunk_chars):
-            words = list(chunk.numbers)
-            for first in range(0, len(words), 20_000):
-                part = words[first : first + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([chunk.name] * len(part)),
-                        pa.array(np.arange(first, first + len(part), dtype=np.int32)),
-                        pa.array(part, pa.string()),
-                    ],
-                    names=["chunk", "number", "word"],
-                )
+            lists: defaultdict = defaultdict(list)
+            for word in map(str.encode, chunk.numbers):
+                lists[_bucket_of(word)].append(word)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(lists), pa.int32()),
+                    pa.array([chunk.name] * len(lists), pa.int64()),
+                    pa.array(map(_pack_lists, lists.values()), pa.binary()),
+                ],
+                names=["bucket", "chunk", "words"],
+            )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path or tokenizer_path())
-        seen, ids = None, b""
+        known: dict[bytes, bytes] = {}
+        here = None
         for batch in batches:
-            made = []
-            for word in batch.column("word").to_pylist():
-                if word != seen:
-                    seen, ids = word, np.array(vocab.encode_piece(word), "<u4").tobytes()
-                made.append(ids)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("number"), pa.array(made, pa.binary())], names=["chunk", "number", "ids"]
-            )
+            for bucket, chunk, packed in zip(*(batch.column(c).to_pylist() for c in ("bucket", "chunk", "words"))):
+                if bucket != here:
+                    here, known = bucket, {}
+                made, at = [], 0
+                lengths, joined = _unpack_lists(packed)
+                for n in lengths.tolist():
+                    word = joined[at : at + n]
+                    at += n
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = np.array(vocab.encode_piece(word.decode()), "<u4").tobytes()
+                    made.append(ids)
+                arrays = [pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()), pa.array([_pack_ids(made)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "bucket", "ids"])
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             raise ValueError("words of a chunk that the other pass did not make: the input has no stable order")
-        numbers = right.column("number").to_numpy()
-        order = np.unique(numbers, return_index=True)[1]  # equal chunks send equal words
-        words = right.column("ids").combine_chunks() if right.num_rows else pa.array([], pa.binary())
-        words = words.take(pa.array(order))
-        lengths = np.array([len(w) // 4 for w in words.to_pylist()], dtype=np.int64)
-        values = np.frombuffer(b"".join(words.to_pylist()), "<u4")
-        starts = np.cumsum(lengths) - lengths
+        buckets = np.frombuffer(_unpack(left.column("buckets")[0].as_py()), np.uint8)
+        lengths = np.zeros(len(buckets), dtype=np.int64)
+        starts = np.zeros(len(buckets), dtype=np.int64)
+        values, begin, done = [], 0, 0
+        once = dict(zip(right.column("bucket").to_pylist(), right.column("ids").to_pylist()))  # equal chunks send equal words
+        for bucket, packed in once.items():
+            sizes, ids = _unpack_ids(packed)
+            at = np.flatnonzero(buckets == bucket)
+            if len(at) != len(sizes):
+                raise ValueError("a chunk lacks words: the input has no stable order")
+            lengths[at] = sizes
+            starts[at] = np.cumsum(sizes) - sizes + begin
+            values.append(ids)
+            begin += len(ids)
+            done += len(at)
+        if done != len(buckets):
+            raise ValueError("a chunk lacks words: the input has no stable order")
+        values = np.concatenate([np.empty(0, "<u4"), *values])
         ids, out = [], []
         for doc_ids, sizes, packed in zip(*(left.column(c).to_pylist() for c in ("doc_ids", "sizes", "codes"))):
-            total = sum(sizes)
-            planes = np.frombuffer(pa.decompress(packed, total * 4, codec="zstd", asbytes=True), np.uint8)
-            codes = np.ascontiguousarray(planes.reshape(4, total).T).view("<u4").reshape(-1)
-            if total and int(codes.max()) >= len(lengths):
-                raise ValueError("a chunk lacks words: the input has no stable order")
-            at = 0
+            codes, at = _unpack_numbers(packed), 0
             for doc_id, n in zip(doc_ids, sizes):
                 ids.append(doc_id)
-                out.append(_gather(values, starts, lengths, codes[at : at + n]).tobytes())
+                out.append(_gather(values, starts, lengths, codes[at : at + n]).astype("<u4").tobytes())
                 at += n
         return pa.table({"doc_id": pa.array(ids, left.schema.field("doc_ids").type.value_type), "ids": pa.array(out, pa.binary())})
 
-    positions = docs.mapInArrow(numbered, f"chunk long, doc_ids array<{kind}>, sizes array<long>, codes binary")
-    words = docs.mapInArrow(worded, "chunk long, number int, word string")
-    table = words.repartition("word").sortWithinPartitions("word").mapInArrow(encoded, "chunk long, number int, ids binary")
+    positions = docs.mapInArrow(numbered, f"chunk long, doc_ids array<{kind}>, sizes array<long>, codes binary, buckets binary")
+    words = docs.mapInArrow(worded, "bucket int, chunk long, words binary")
+    table = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(encoded, "chunk long, bucket int, ids binary")
     return positions.groupBy("chunk").cogroup(table.groupBy("chunk")).applyInArrow(joined, f"doc_id {kind}, ids binary")
 
 
+def _pack_ids(rows: list[bytes]) -> bytes:
+    sizes = _pack_numbers(np.fromiter((len(r) // 4 for r in rows), np.int64, len(rows)))
+    return len(sizes).to_bytes(8, "little") + sizes + _pack_numbers(np.frombuffer(b"".join(rows), "<u4"))
+
+
+def _unpack_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    cut = 8 + int.from_bytes(packed[:8], "little")
+    return _unpack_numbers(packed[8:cut]).astype(np.int64), _unpack_numbers(packed[cut:])
+
+
 def _typed(batches: Iterator[pa.RecordBatch]):
     """The batches as one stream, with the type of doc_id."""
     first = next(batches, None)
@@ -184,7 +239,7 @@ def as_array(ids: str = "ids"):
     return F.pandas_udf(made, "array<long>")(ids)
 
 
-SLICE = 1 << 20  # ids that are looked up at once
+SLICE = 1 << 17  # ids that are looked up at once
 
 
 def decode(encoded: DataFrame, path: str | None = None, keep: tuple = ("doc_id",)) -> DataFrame:
