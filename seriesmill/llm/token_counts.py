@@ -69,25 +69,29 @@ class Prefixes:
     def upto(self, n: int) -> int:
         """Tokens of the first ``n`` code points."""
         i = bisect_right(self.ends, n) - 1
-        if self.ends[i] == n:
+        pieces, inside = self.pieces, n - self.ends[i]
+        if i == len(pieces) or not (inside or (i > 1 and pieces[i - 1].isspace() and pieces[i - 2].isspace())):
             return self.counts[i]
-        piece, inside = self.pieces[i], n - self.ends[i]
         begin = i
-        special = piece in self.counter.vocab.special
-        while begin and (not self.pieces[begin - 1][-1].isalnum() if special else self.pieces[begin - 1].isspace()):
+        special = inside and pieces[i] in self.counter.vocab.special
+        while begin and (not pieces[begin - 1][-1].isalnum() if special else pieces[begin - 1].isspace()):
             begin -= 1
-        if begin == i and not special and piece[0] != "'" and not piece.isspace():
-            return self.counts[i] + self.counter.table(piece)[len(piece[:inside].encode())]
-        stretch = "".join(self.pieces[begin:i]) + piece[:inside]
+        if begin == i and not special and pieces[i][0] != "'" and not pieces[i].isspace():
+            return self.counts[i] + self.counter.table(pieces[i])[len(pieces[i][:inside].encode())]
+        stretch = "".join(pieces[begin:i]) + (pieces[i][:inside] if inside else "")
         return self.counts[begin] + sum(map(self.counter.total, self.counter.vocab.pieces(stretch)))
 
     def within(self, budget: int) -> int:
         """Code points of the longest prefix of at most ``budget`` tokens."""
         if self.total <= budget:
             return self.ends[-1]
-        # each piece adds a token at least, so no prefix that goes beyond this piece fits
+        # each piece adds a token at least, so no prefix beyond this piece fits, unless white space
+        # that is several pieces in the text is fewer at the end of a prefix
         i = bisect_right(self.counts, budget) - 1
-        for n in range(self.ends[i + 1] - 1, self.ends[i], -1):
+        end = i + 1
+        while end < len(self.pieces) and self.pieces[end - 1].isspace() and self.pieces[end].isspace():
+            end += 1
+        for n in range(min(self.ends[end] + 1, self.ends[-1]), self.ends[i], -1):
             if self.upto(n) <= budget:
                 return n
         return self.ends[i]
