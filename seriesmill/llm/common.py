@@ -51,21 +51,22 @@ _GAP = np.zeros(256, dtype=bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """One 64-bit hash per word of a text: A-Z lower-cased, words parted by space and \\x09-\\x0D.
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """One 64-bit hash per word of a text in UTF-8, and where each word starts.
 
-    Each word is read in strides of eight bytes over all words at once, so the work is
-    a few array operations per text whatever its length.
+    A-Z are lower-cased and words are parted by space and \\x09-\\x0D.  Each word is read in strides of
+    eight bytes over all words at once, so the work is a few array operations whatever the length.
     """
-    raw = (text or "").encode("utf-8", "surrogatepass").translate(_FOLD)
+    raw = raw.translate(_FOLD)
+    none = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     if not raw:
-        return np.empty(0, dtype=np.uint64)
+        return none
     data = np.frombuffer(raw, dtype=np.uint8)
     inside = np.concatenate(([False], ~_GAP[data], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
-        return np.empty(0, dtype=np.uint64)
+        return none
     padded = np.zeros(len(data) + 8, dtype=np.uint64)
     padded[: len(data)] = data
     # eight bytes from every position on, as one number
@@ -76,13 +77,16 @@ def word_hashes(text: str | None) -> np.ndarray:
     hashes = mixed(lengths.astype(np.uint64))
     at, left, live = starts.copy(), lengths.copy(), np.arange(len(starts))
     while len(live):
-        held = np.minimum(left[live], 8).astype(np.uint64)
-        cut = np.where(held == 8, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << (held * np.uint64(8) % np.uint64(64))) - np.uint64(1))
-        hashes[live] = mixed(hashes[live] ^ (eight[at[live]] & cut))
+        held = np.minimum(left[live], 8)
+        hashes[live] = mixed(hashes[live] ^ (eight[at[live]] & _LOW[held]))
         at[live] += 8
         left[live] -= 8
         live = live[left[live] > 0]
-    return hashes
+    return hashes, starts
+
+
+# the lowest n bytes of a number
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
@@ -96,6 +100,34 @@ def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
     return made
 
 
+def shingle_sets(texts: list, size: int = 5, at_once: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of every text; texts are hashed together, ``at_once`` bytes or so."""
+    held: list[bytes] = []
+    total = 0
+    for text in texts:
+        held.append((text or "").encode("utf-8", "surrogatepass"))
+        total += len(held[-1]) + 1
+        if total >= at_once:
+            yield from _shingle_sets(held, size)
+            held, total = [], 0
+    if held:
+        yield from _shingle_sets(held, size)
+
+
+def _shingle_sets(raws: list[bytes], size: int) -> Iterator[np.ndarray]:
+    words, starts = word_hashes(b"\n".join(raws))
+    ends = np.searchsorted(starts, np.cumsum([len(r) + 1 for r in raws]))
+    whole = shingle_hashes(words, size) if len(words) >= size else words
+    first = 0
+    for end in ends.tolist():
+        n = end - first
+        if n >= size:
+            yield np.unique(whole[first : end - size + 1])
+        else:
+            yield shingle_hashes(words[first:end], size)
+        first = end
+
+
 def map_texts(df: DataFrame, keep: list[str], column: str, schema: str, made: Callable[[list], dict]) -> DataFrame:
     """Apply ``made`` to the texts of every Arrow batch.
 

@@ -4,9 +4,9 @@ Documents with one shingle set form a class; only classes are compared.  Shingle
 all documents, common ones last, and a class is known by the first few of its shingles there: two sets that link
 share at least one of these.  The classes of one such shingle are a group.
 
-Leaders: in a group each class looks at the smallest class it could link with.  The one it meets in most groups is
-compared exactly, and linked classes are contracted, so that a thousand near copies no longer need a million comparisons.
-Repeated, this leaves the groups in which several components meet.
+Leaders: each group has a leader, first the class whose shingles are held by most others, later one drawn by hash.  A class is compared
+exactly with the leader it meets in most groups, and linked classes are contracted, so that a thousand near copies no longer
+need a million comparisons.  Repeated, this leaves the groups in which several components meet.
 
 Trees: the members of such a group, by size, are the leaves of a tree whose nodes hold the OR of the token bitmaps below and their
 range of sizes.  Two nodes are descended into together unless their sizes exclude a link, the overlap that
@@ -30,23 +30,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import broadcast_checked, map_texts, mixed, shingle_hashes, word_hashes
+from seriesmill.llm.common import broadcast_checked, map_texts, mixed, shingle_sets
 from seriesmill.session import materialise
 
 SHINGLE = 5
 PERCENT = 80  # links need 100 * intersection >= PERCENT * union
 SLOTS = 1 << 18  # of the table that tells common shingles from rare ones
 PARTS = 64
-BITS = 1024  # of a signature
+BITS = 2048  # of a signature
 FAN = 16  # children of a tree node
 TOP = 2048  # members below a node that is a row
 AT_ONCE = 1 << 15  # node pairs looked at in one array operation
-ROUNDS = 3  # of leaders
-HELD_ROWS = 2_000_000  # of one group that a task holds; a longer one finds leaders stretch by stretch
-
-
-def shingle_set(text: str | None) -> np.ndarray:
-    return np.unique(shingle_hashes(word_hashes(text), SHINGLE))
+ROUNDS = 5  # of leaders, at most; a round that links few of its pairs is the last
+FEW = 0.05
+PER_STAR = 256  # texts that one copy of a leader is compared with
 
 
 def set_name(tokens: np.ndarray) -> tuple[int, int]:
@@ -66,24 +63,35 @@ def prefix_length(n: int) -> int:
     return n - -(-n * PERCENT // 100) + 1
 
 
+def _sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The shingle sets of the texts of a batch."""
+    for first in range(0, batch.num_rows, 256):
+        yield from shingle_sets(batch.column("text").slice(first, 256).to_pylist(), SHINGLE)
+
+
 # ---- passes over the texts
 
 
 def members_of(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of the text), n, class, check of every document; class is null for an empty set."""
+    """doc_id, key (of the text), n, class, check, signature of every document; class is null for an empty set."""
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
 
     def made(texts: list) -> dict:
-        sizes, names, checks = [], [], []
-        for text in texts:
-            tokens = shingle_set(text)
+        sizes, names, checks, bits = [], [], [], []
+        for tokens in shingle_sets(texts, SHINGLE):
             one, two = set_name(tokens) if len(tokens) else (None, None)
             sizes.append(len(tokens))
             names.append(one)
             checks.append(two)
-        return {"n": sizes, "class": pa.array(names, pa.int64()), "check": pa.array(checks, pa.int64())}
+            bits.append(signature(tokens).tobytes() if len(tokens) else None)
+        return {
+            "n": sizes,
+            "class": pa.array(names, pa.int64()),
+            "check": pa.array(checks, pa.int64()),
+            "signature": pa.array(bits, pa.binary()),
+        }
 
-    return map_texts(keyed, ["doc_id", "key"], "text", "n long, class long, check long", made)
+    return map_texts(keyed, ["doc_id", "key"], "text", "n long, class long, check long, signature binary", made)
 
 
 def commonness(docs: DataFrame) -> np.ndarray:
@@ -95,8 +103,14 @@ def commonness(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
-            for text in batch.column("text"):
-                total += 0 if text.as_py() is None else np.bincount((shingle_set(text.as_py()) % SLOTS).astype(np.int64), minlength=SLOTS)
+            held: list[np.ndarray] = []
+            for tokens in _sets(batch):
+                held.append((tokens % SLOTS).astype(np.int64))
+                if len(held) == 1024:
+                    total += np.bincount(np.concatenate(held), minlength=SLOTS)
+                    held = []
+            if held:
+                total += np.bincount(np.concatenate(held), minlength=SLOTS)
         parts = total.reshape(PARTS, -1)
         yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(parts.tolist(), pa.list_(pa.int64()))], names=["part", "counts"])
 
@@ -126,8 +140,7 @@ def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             tokens, names, sizes = [], [], []
-            for text in batch.column("text"):
-                held = shingle_set(text.as_py())
+            for held in _sets(batch):
                 if not len(held):
                     continue
                 name = set_name(held)[0]
@@ -149,106 +162,108 @@ def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
 
 
 def shared_postings(rows: DataFrame) -> DataFrame:
-    """token, class, n, leader of tokens that several classes hold; leader may be null.  A written table.
+    """token, class, n of tokens that several classes hold; a written table.
 
-    The leader is the first class of the group, by size and name, that is large enough to link.
+    One shuffle by token; inside a task the rows are sorted, and a token is shared if its first and last classes differ.
     """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []  # rows of the group that goes on: token, class, n
-        torn = False  # whether the group that goes on has been cut already
+        before, waits = None, None  # the last row, and whether it still waits for a second class
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("token", "class", "n")]))
-            whole = np.concatenate(held, axis=1) if len(held) > 1 else held[0]
-            cut = int(np.searchsorted(whole[0], whole[0, -1]))  # the last group may go on
-            if cut == 0 and whole.shape[1] < HELD_ROWS:
-                held = [whole]
-                continue
-            tear = cut == 0
-            cut = cut or whole.shape[1]
-            yield from _led(whole[:, :cut], torn, tear)
-            torn = tear
-            held = [whole[:, cut:]] if cut < whole.shape[1] else []
-        if held:
-            yield from _led(np.concatenate(held, axis=1), torn, False)
+            part = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("token", "class", "n")])
+            if before is not None:
+                part = np.concatenate((before, part), axis=1)
+            token, name = part[0], part[1]
+            near = token[1:] == token[:-1]
+            fresh = np.concatenate(([True], ~near | (name[1:] != name[:-1])))
+            if before is not None and not waits:
+                fresh[0] = False  # it went out with the batch before
+            again = near & (name[1:] != name[:-1])
+            group = np.concatenate(([0], np.cumsum(~near)))
+            several = np.zeros(group[-1] + 1, dtype=bool)
+            several[group[1:][again]] = True
+            if before is not None and not waits:
+                several[0] = True
+            out = fresh & several[group]
+            waits = not several[group[-1]]
+            before = part[:, -1:]
+            k = np.flatnonzero(out)
+            if len(k):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[0, k]), pa.array(part[1, k]), pa.array(part[2, k].astype(np.int32))], names=["token", "class", "n"]
+                )
 
-    ordered = rows.repartition("token").sortWithinPartitions("token", "n", "class")
-    return materialise(ordered.mapInArrow(over, "token long, class long, n int, leader long"), "shared")
+    ordered = rows.repartition("token").sortWithinPartitions("token", "class")
+    return materialise(ordered.mapInArrow(over, "token long, class long, n int"), "shared")
 
 
-def _led(rows: np.ndarray, begun: bool, goes_on: bool) -> Iterator[pa.RecordBatch]:
-    """Leaders of whole groups; the first may have begun in earlier rows, the last may go on."""
-    token, name, n = rows
-    fresh = np.concatenate(([True], (token[1:] != token[:-1]) | (name[1:] != name[:-1])))
-    token, name, n = token[fresh], name[fresh], n[fresh]
-    starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-    counts = np.diff(np.concatenate((starts, [len(token)])))
-    several = counts > 1
-    several[0] |= begun
-    several[-1] |= goes_on
-    several = np.repeat(several, counts)
-    if not several.any():
-        return
-    # in (group, size) order, the first row that is at least as large as a link needs
-    group = np.repeat(np.arange(len(starts)), counts)
-    need = -(-n * PERCENT // 100)
-    span = int(n.max()) + 1
-    at = np.searchsorted(group * span + n, group * span + need)
-    leader = name[at]
-    valid = leader != name
-    keep = np.flatnonzero(several)
-    for first in range(0, len(keep), 100_000):
-        k = keep[first : first + 100_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(token[k]), pa.array(name[k]), pa.array(n[k].astype(np.int32)), pa.array(leader[k], mask=~valid[k])],
-            names=["token", "class", "n", "leader"],
-        )
-
-
-def sets_of(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
-    """class, tokens (sorted 64-bit numbers), signature of the wanted classes; a written table."""
-    first = members.groupBy("class").agg(F.min(F.struct("doc_id", "key")).alias("d"))
-    ids = first.join(wanted.select("class"), "class", "left_semi").select(F.col("d.doc_id").alias("_id"), F.col("d.key").alias("_key"))
-    held = broadcast_checked(materialise(ids, "wanted"), F.lit(16))
+def signature(tokens: np.ndarray) -> np.ndarray:
+    bits = np.zeros(BITS, dtype=np.uint8)
+    bits[(tokens >> np.uint64(20)) % np.uint64(BITS)] = 1
+    return np.packbits(bits)
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The columns of ``wanted`` but _id and _key, beside the text of that document.
+
+    The wanted documents are sent to the scan if they are few enough in bytes, so that only their texts move on.
+    """
+    held = broadcast_checked(wanted, F.lit(8 * len(wanted.columns)))
     on = docs["doc_id"].eqNullSafe(held["_id"]) & (F.xxhash64(docs["text"]) == held["_key"])
-    texts = docs.select("doc_id", "text").join(held, on, "left_semi")
+    rest = [c for c in wanted.columns if c not in ("_id", "_key")]
+    return docs.join(held, on).select(*rest, "text")
 
-    def made(rows: list) -> dict:
-        sets = [shingle_set(t) for t in rows]
-        return {
-            "class": [set_name(s)[0] for s in sets],
-            "tokens": [s.astype("<u8").tobytes() for s in sets],
-            "signature": [signature(s).tobytes() for s in sets],
-        }
 
-    found = map_texts(texts.select("text"), [], "text", "class long, tokens binary, signature binary", made)
-    return materialise(found, "sets")
+def allowed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose sizes and signatures allow a link."""
+    one = classes.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("s_a"))
+    two = classes.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("s_b"))
 
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                every = np.arange(batch.num_rows)
+                u = _leaves(batch.column("n_a"), batch.column("s_a"), every)
+                v = _leaves(batch.column("n_b"), batch.column("s_b"), -1 - every)  # never one component
+                yield batch.select(["a", "b"]).take(pa.array(_may_link(u, v, every, every)))
 
-def signature(tokens: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, dtype=np.uint8)
-    bits[(tokens >> np.uint64(20)) % np.uint64(BITS)] = 1
-    return np.packbits(bits)
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(over, "a long, b long")
 
 
-def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b of the pairs that link, by their whole sets."""
+def links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """a, b of the pairs that link, by their whole sets.
+
+    Each ``b`` is a star: its text goes first, then the texts of all its ``a``.  A star of many is cut into
+    several, each with its own copy of the centre.
+    """
+    sizes = pairs.groupBy("b").agg(F.floor(F.count(F.lit(1)) / PER_STAR).cast("int").alias("cuts"))
+    dealt = pairs.join(sizes, "b").select("a", "b", F.pmod(F.xxhash64("a", "b"), F.col("cuts") + 1).cast("int").alias("cut"))
+    centres = dealt.select("b", "cut").distinct().select(F.col("b").alias("class"), F.col("b").alias("star"), "cut", F.lit(0).alias("role"))
+    around = dealt.select(F.col("a").alias("class"), F.col("b").alias("star"), "cut", F.lit(1).alias("role"))
+    wanted = materialise(centres.unionByName(around).join(firsts, "class"), "stars")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        star, centre = None, np.empty(0, np.uint64)
         for batch in batches:
-            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            good = []
-            for x, y in zip(left, right):
-                p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(100 * common >= PERCENT * (len(p) + len(q) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            good_a, good_b = [], []
+            keys = zip(*(batch.column(c).to_pylist() for c in ("star", "cut", "role", "class")))
+            for (b, cut, role, a), held in zip(keys, _sets(batch)):
+                if role == 0:
+                    star, centre = (b, cut), held
+                    continue
+                if star != (b, cut):
+                    raise ValueError("a star without its centre")
+                common = len(np.intersect1d(centre, held, assume_unique=True))
+                if 100 * common >= PERCENT * (len(centre) + len(held) - common):
+                    good_a.append(a)
+                    good_b.append(b)
+            if good_a:
+                yield pa.RecordBatch.from_arrays([pa.array(good_a, pa.int64()), pa.array(good_b, pa.int64())], names=["a", "b"])
 
-    first = sets.select(F.col("class").alias("a"), F.col("tokens").alias("left"))
-    second = sets.select(F.col("class").alias("b"), F.col("tokens").alias("right"))
-    return pairs.select("a", "b").join(first, "a").join(second, "b").mapInArrow(compare, "a long, b long")
+    texts = _texts_of(docs, wanted).repartition("star", "cut").sortWithinPartitions("star", "cut", "role")
+    return materialise(texts.mapInArrow(compare, "a long, b long"), "links")
 
 
 # ---- components
@@ -276,19 +291,34 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
         small = met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(met.select("u", F.col("m").alias("v")))
         now = materialise(small.where("u <> v").distinct(), "edges")
     roots = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
-    return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    return materialise(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
 
 
 # ---- trees
 
 
+def _bits(column: pa.Array) -> np.ndarray:
+    """Signatures as a matrix of 64-bit words."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+
+
+def _leaves(sizes: pa.Array, signatures: pa.Array, roots: np.ndarray | None = None) -> dict:
+    return leaves(sizes.to_numpy().astype(np.int64), _bits(signatures), roots)
+
+
+def leaves(sizes: np.ndarray, bits: np.ndarray, roots: np.ndarray | None = None) -> dict:
+    """Members as nodes: bitmap, range of sizes, what the bitmap may hide of a set, range of components."""
+    roots = np.arange(len(sizes)) if roots is None else roots
+    excess = sizes - np.bitwise_count(bits).sum(axis=1)
+    return {"bits": bits, "low": sizes, "high": sizes, "over": excess, "first": roots, "last": roots}
+
+
 class Tree:
     """Levels of nodes over members sorted by size; level 0 are the members."""
 
-    def __init__(self, names: np.ndarray, sizes: np.ndarray, roots: np.ndarray, signatures: np.ndarray):
+    def __init__(self, names: np.ndarray, members: dict):
         self.names = names
-        excess = sizes - np.bitwise_count(signatures).sum(axis=1)
-        self.levels = [{"bits": signatures, "low": sizes, "high": sizes, "over": excess, "first": roots, "last": roots}]
+        self.levels = [members]
         while len(self.levels[-1]["low"]) > 1:
             below = self.levels[-1]
             at = np.arange(0, len(below["low"]), FAN)
@@ -359,58 +389,109 @@ def _children(left: Tree, level: int, i: np.ndarray, j: np.ndarray, right: Tree)
     return pairs_a[good], pairs_b[good]
 
 
-def top_nodes(rows: DataFrame) -> DataFrame:
-    """token, node, low, high, one (its only component or null), names, sizes, roots, signatures of up to TOP members each."""
+def group_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of groups (token, class, n, root, signature): class pairs that no bound excludes, and the top nodes of large groups.
+
+    A group of at most TOP members is one tree, gone through where it is read; groups no larger than
+    a single node are looked at all together.  A larger group becomes rows of TOP members each.
+    """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
+        held = None
         node = 0
         for batch in batches:
-            rows = batch.to_pylist()
-            made = []
-            for row in rows:
-                if held and (row["token"] != held[0]["token"] or len(held) == TOP):
-                    made.append(_node(held, node))
-                    node = node + 1 if row["token"] == held[0]["token"] else 0
-                    held = []
-                held.append(row)
-            if made:
-                yield pa.RecordBatch.from_pylist(made, schema=_NODE)
-        if held:
-            yield pa.RecordBatch.from_pylist([_node(held, node)], schema=_NODE)
-
+            if not batch.num_rows:
+                continue
+            whole = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            token = whole.column("token").to_numpy()
+            changes = np.flatnonzero(token[1:] != token[:-1])
+            cut = int(changes[-1]) + 1 if len(changes) else 0
+            if cut:  # all but the last group are whole
+                yield from _group_rows(whole.slice(0, cut), node)
+                node, whole = 0, whole.slice(cut)
+            while whole.num_rows > TOP:
+                yield _top_row(whole.slice(0, TOP), node)
+                node, whole = node + 1, whole.slice(TOP)
+            held = whole
+        if held is not None and held.num_rows:
+            yield from _group_rows(held, node)
+
+    schema = "a long, b long, token long, node int, low long, high long, one long, names binary, sizes binary, roots binary, signatures binary"
     ordered = rows.repartition("token").sortWithinPartitions("token", "n", "class")
-    return ordered.mapInArrow(over, "token long, node int, low long, high long, one long, names binary, sizes binary, roots binary, signatures binary")
+    made = materialise(ordered.mapInArrow(over, schema), "groups")
+    return made.where("token IS NULL").select("a", "b"), made.where("token IS NOT NULL").drop("a", "b")
 
 
-_NODE = pa.schema(
-    [("token", pa.int64()), ("node", pa.int32()), *[(c, pa.int64()) for c in ("low", "high", "one")]]
+_ROW = pa.schema(
+    [("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64()), ("node", pa.int32())]
+    + [(c, pa.int64()) for c in ("low", "high", "one")]
     + [(c, pa.binary()) for c in ("names", "sizes", "roots", "signatures")]
 )
 
 
-def _node(rows: list[dict], node: int) -> dict:
-    roots = {r["root"] for r in rows}
-    return {
-        "token": rows[0]["token"],
+def _pair_rows(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+    return pa.RecordBatch.from_arrays(columns + [pa.nulls(len(a), f.type) for f in list(_ROW)[2:]], schema=_ROW)
+
+
+def _top_row(rows: pa.Table, node: int) -> pa.RecordBatch:
+    names, sizes, roots = (rows.column(c).to_numpy().astype("<i8") for c in ("class", "n", "root"))
+    made = {
+        "token": rows.column("token")[0].as_py(),
         "node": node,
-        "low": rows[0]["n"],
-        "high": rows[-1]["n"],
-        "one": roots.pop() if len(roots) == 1 else None,
-        "names": np.array([r["class"] for r in rows], "<i8").tobytes(),
-        "sizes": np.array([r["n"] for r in rows], "<i8").tobytes(),
-        "roots": np.array([r["root"] for r in rows], "<i8").tobytes(),
-        "signatures": b"".join(r["signature"] for r in rows),
+        "low": int(sizes[0]),
+        "high": int(sizes[-1]),
+        "one": int(roots[0]) if (roots == roots[0]).all() else None,
+        "names": names.tobytes(),
+        "sizes": sizes.tobytes(),
+        "roots": roots.tobytes(),
+        "signatures": b"".join(rows.column("signature").to_pylist()),
     }
+    return pa.RecordBatch.from_pylist([made], schema=_ROW)
+
+
+def _group_rows(rows: pa.Table, node: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of whole groups; the first is the rest of a large one if ``node`` is not 0."""
+    token = rows.column("token").to_numpy()
+    starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    sizes = np.diff(np.concatenate((starts, [len(token)])))
+    if node:
+        yield _top_row(rows.slice(0, int(sizes[0])), node)
+    names = rows.column("class").to_numpy()
+    members = _leaves(rows.column("n"), rows.column("signature").combine_chunks(), rows.column("root").to_numpy())
+    small = np.repeat(sizes <= FAN, sizes)
+    if node:
+        small[: sizes[0]] = False
+    group = np.repeat(np.arange(len(starts)), sizes)
+    for step in range(1, min(FAN, len(token))):
+        i = np.flatnonzero(small[:-step] & (group[:-step] == group[step:]))
+        if not len(i):
+            break
+        for first in range(0, len(i), AT_ONCE):
+            u = i[first : first + AT_ONCE]
+            u = u[_may_link(members, members, u, u + step)]
+            if len(u):
+                yield _pair_rows(names[u], names[u + step])
+    for g in np.flatnonzero(sizes > FAN).tolist():
+        if g == 0 and node:
+            continue
+        at = slice(int(starts[g]), int(starts[g] + sizes[g]))
+        if sizes[g] > TOP:
+            for k, first in enumerate(range(at.start, at.stop, TOP)):
+                yield _top_row(rows.slice(first, min(TOP, at.stop - first)), k)
+            continue
+        tree = Tree(names[at], {k: x[at] for k, x in members.items()})
+        for i, j in traverse(tree, tree, True):
+            yield _pair_rows(tree.names[i], tree.names[j])
 
 
-def tree_pairs(nodes: DataFrame) -> DataFrame:
-    """a, b: class pairs of different components that no bound excludes."""
+def node_pairs(nodes: DataFrame) -> DataFrame:
+    """a, b: class pairs of large groups, from all pairs of their top nodes that sizes and components allow."""
 
     def tree(row: dict, side: str) -> Tree:
-        names = np.frombuffer(row["names" + side], "<i8")
-        signatures = np.frombuffer(row["signatures" + side], np.uint8).view(np.uint64).reshape(len(names), -1)
-        return Tree(names, np.frombuffer(row["sizes" + side], "<i8"), np.frombuffer(row["roots" + side], "<i8"), signatures)
+        names, sizes, roots = (np.frombuffer(row[c + side], "<i8") for c in ("names", "sizes", "roots"))
+        bits = np.frombuffer(row["signatures" + side], np.uint64).reshape(len(names), -1)
+        return Tree(names, leaves(sizes, bits, roots))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -425,9 +506,9 @@ def tree_pairs(nodes: DataFrame) -> DataFrame:
 
     other = nodes.select(*[F.col(c).alias(c if c == "token" else f"{c}_b") for c in nodes.columns])
     met = nodes.join(other, "token").where(
-        "node <= node_b AND 100 * least(high, high_b) >= 80 * greatest(low, low_b) AND NOT coalesce(one = one_b, false)"
+        f"node <= node_b AND 100 * least(high, high_b) >= {PERCENT} * greatest(low, low_b) AND NOT coalesce(one = one_b, false)"
     )
-    return met.mapInArrow(over, "a long, b long").distinct()
+    return met.mapInArrow(over, "a long, b long")
 
 
 # ---- the join
@@ -439,34 +520,50 @@ def _roots_on(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(named, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
 
-def class_links(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """node, root of all classes that have a link."""
+def led_pairs(shared: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """a, b: each class and the leader it meets in most groups, if they are of different components and fit in size."""
+    placed = _roots_on(shared, roots)
+    if turn == 0:
+        # how many classes hold a shingle of the class, on average over its first shingles: high in the middle of copies
+        held = shared.groupBy("token").agg(F.count(F.lit(1)).alias("held"))
+        first = F.max("n") - F.ceil(F.max("n") * PERCENT / 100) + 1
+        weight = shared.join(held, "token").groupBy("class").agg((F.sum("held") / first).alias("weight"))
+        ranked = placed.join(weight, "class")
+    else:
+        ranked = placed.withColumn("weight", F.xxhash64("class", F.lit(turn)))
+    best = ranked.groupBy("token").agg(
+        F.max(F.struct("weight", "class", "n", "root")).alias("leader"), F.min("root").alias("x"), F.max("root").alias("y")
+    )
+    met = placed.join(best.where("x <> y").select("token", "leader"), "token").where(F.col("root") != F.col("leader.root"))
+    fits = 100 * F.least("n", "leader.n") >= PERCENT * F.greatest("n", "leader.n")
+    tallied = met.where(fits).groupBy("class", F.col("leader.class").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+    chosen = tallied.groupBy("class").agg(F.max(F.struct("times", "b")).alias("best"))
+    return chosen.select(F.col("class").alias("a"), F.col("best.b").alias("b"))
+
+
+def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """node, root of all classes that have a link; ``classes`` has name, size, signature and a document of each."""
+    firsts = classes.select("class", F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
     shared = shared_postings(postings(docs, commonness(docs)))
-    wanted = shared.select("class").distinct()
-    sets = sets_of(docs, members, wanted)
     edges = None
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
     for turn in range(ROUNDS):
-        led = shared.where("leader IS NOT NULL")
-        if turn:
-            now = _roots_on(led, roots).withColumnRenamed("root", "own")
-            other = roots.select(F.col("node").alias("leader"), F.col("root").alias("theirs"))
-            led = now.join(other, "leader", "left").where(F.col("own") != F.coalesce("theirs", "leader"))
-        tallied = led.groupBy("class", "leader").agg(F.count(F.lit(1)).alias("times"))
-        choice = F.max(F.struct("times", "leader"))
-        pairs = tallied.groupBy("class").agg(choice.alias("best")).select(F.col("class").alias("a"), F.col("best.leader").alias("b"))
-        found = materialise(links(pairs, sets), "links")
-        if found.isEmpty():
+        led = materialise(allowed(led_pairs(shared, roots, turn), classes), "led")
+        tried = led.count()
+        found = links(docs, firsts, led)
+        linked = found.count()
+        if linked:
+            edges = found if edges is None else edges.unionByName(found)
+            roots = smallest_reachable(edges)
+        if linked <= FEW * tried:
             break
-        edges = found if edges is None else edges.unionByName(found)
-        roots = materialise(smallest_reachable(edges), "roots")
-    placed = _roots_on(shared.select("token", "class", "n"), roots)
-    mixed_groups = placed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-    left = placed.join(mixed_groups, "token", "left_semi").join(sets.select("class", "signature"), "class")
-    pairs = materialise(tree_pairs(materialise(top_nodes(left), "nodes")), "pairs")
-    found = materialise(links(pairs, sets), "links")
-    edges = found if edges is None else edges.unionByName(found)
-    return materialise(smallest_reachable(edges), "roots")
+    placed = _roots_on(shared, roots)
+    several = placed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
+    left = placed.join(several, "token", "left_semi").join(classes.select("class", "signature"), "class")
+    near, nodes = group_pairs(left)
+    pairs = materialise(near.unionByName(node_pairs(nodes)).distinct(), "pairs")
+    found = links(docs, firsts, pairs)
+    return smallest_reachable(found if edges is None else edges.unionByName(found))
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -476,15 +573,22 @@ def components(docs: DataFrame) -> DataFrame:
     classes = materialise(
         members.where("class IS NOT NULL")
         .groupBy("class")
-        .agg(F.min("doc_id").alias("least"), F.min(F.struct("check", "n")).alias("x"), F.max(F.struct("check", "n")).alias("y")),
+        .agg(
+            F.min("doc_id").alias("least"),
+            F.min(F.struct("doc_id", "key")).alias("first"),
+            F.first("n").alias("n"),
+            F.first("signature").alias("signature"),
+            F.min(F.struct("check", "n")).alias("x"),
+            F.max(F.struct("check", "n")).alias("y"),
+        ),
         "classes",
     )
     if not classes.where("x <> y").isEmpty():
         raise ValueError("two shingle sets have one name")
-    placed = _roots_on(classes.select("class", "least"), class_links(docs, members.where("class IS NOT NULL")))
+    placed = _roots_on(classes.select("class", "least"), class_links(docs, classes))
     lowest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     answer = materialise(placed.join(lowest, "root").select("class", "component_id"), "answer")
-    joined = members.join(answer, "class", "left")
+    joined = members.drop("signature").join(answer, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), own.alias("component_id"))
 

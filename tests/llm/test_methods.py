@@ -174,7 +174,7 @@ def test_trees_lose_no_pair():
     sets.sort(key=len)
     signatures = np.stack([jaccard.signature(s).view(np.uint64) for s in sets])
     sizes = np.array([len(s) for s in sets])
-    tree = jaccard.Tree(np.arange(len(sets)), sizes, np.arange(len(sets)), signatures)
+    tree = jaccard.Tree(np.arange(len(sets)), jaccard.leaves(sizes, signatures))
     found = {(int(a), int(b)) for i, j in jaccard.traverse(tree, tree, True) for a, b in zip(i, j)}
     plain = [set(s.tolist()) for s in sets]
     assert {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if linked(plain[i], plain[j])} <= found
