@@ -17,46 +17,56 @@ from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import display_name, sensor_of, share
 from seriesmill.operators.model import EventModel, assemble
+from seriesmill.operators.profile import with_label_text
 from seriesmill.operators.ranks import bounded
 from seriesmill.session import scratch_path
 from seriesmill.spec import OTHER_SENSOR
 
 _BATCH = 2_000
+# Most bytes of trees that are sent to the executors.
+BROADCAST_BYTES = 512 << 20
+
+
+def _arrays(rows: pd.DataFrame, kind: str, part: int, weight: float, classes: int) -> dict:
+    """One tree as compact arrays; values have one column per class of the part."""
+    rows = rows.sort_values("id")
+    if kind == "forest":
+        counts = np.stack(rows["impurityStats"].to_numpy())
+        values = np.zeros((len(rows), classes), dtype=np.float32)
+        values[:, : counts.shape[1]] = counts / counts.sum(axis=1, keepdims=True)
+    else:
+        values = rows["prediction"].to_numpy(dtype=np.float32)[:, None]
+    split = rows["split"].to_list()
+    cut = [s["leftCategoriesOrThreshold"] for s in split]
+    return {
+        "part": part,
+        "weight": weight,
+        "left": rows["leftChild"].to_numpy(dtype=np.int32),
+        "right": rows["rightChild"].to_numpy(dtype=np.int32),
+        "feature": np.array([s["featureIndex"] for s in split], dtype=np.int32),
+        "threshold": np.array([c[0] if len(c) else 0.0 for c in cut]),
+        "value": values,
+    }
 
 
 def _trees(spark: SparkSession, model: EventModel) -> list[dict]:
-    """Node tables of every tree as arrays; values have one column per class.
+    """Every tree as compact arrays.
 
-    As large as the model, which Spark ML holds on the driver and broadcasts too.
+    Spark ML holds the whole model on the driver as well, at several times this size. Trees are turned
+    into arrays one part of the model at a time; more than BROADCAST_BYTES of them is an error.
     """
-    k = len(model.labels)
-    trees = []
+    k, trees, held = len(model.labels), [], 0
     for c, part in model.parts.items():
         path = scratch_path(spark, "model")
         part.write().save(path)
-        nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toPandas()
-        scale = [1.0 / part.getNumTrees] * part.getNumTrees if model.kind == "forest" else list(part.treeWeights)
-        for tree, rows in nodes.groupby("treeID"):
-            rows = rows.sort_values("id")
-            if model.kind == "forest":
-                counts = np.stack(rows["impurityStats"].to_numpy())
-                values = np.zeros((len(rows), k))
-                values[:, : counts.shape[1]] = counts / counts.sum(axis=1, keepdims=True)
-            else:
-                values = np.zeros((len(rows), k))
-                values[:, c] = rows["prediction"]
-            split = rows["split"].to_list()
-            trees.append(
-                {
-                    "left": rows["leftChild"].to_numpy(),
-                    "right": rows["rightChild"].to_numpy(),
-                    "feature": np.array([s["featureIndex"] for s in split]),
-                    "threshold": np.array(
-                        [s["leftCategoriesOrThreshold"][0] if len(s["leftCategoriesOrThreshold"]) else 0.0 for s in split]
-                    ),
-                    "value": values * scale[int(tree)],
-                }
-            )
+        weights = [1.0 / part.getNumTrees] * part.getNumTrees if model.kind == "forest" else list(part.treeWeights)
+        nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+        for tree, weight in enumerate(weights):
+            made = _arrays(nodes.where(F.col("treeID") == tree).toPandas(), model.kind, c, weight, k)
+            held += sum(x.nbytes for x in made.values() if isinstance(x, np.ndarray))
+            if held > BROADCAST_BYTES:
+                raise ValueError(f"the trees take more than {BROADCAST_BYTES} bytes; explain a model with fewer or lower trees")
+            trees.append(made)
     return trees
 
 
@@ -65,43 +75,49 @@ def _walk(x: np.ndarray, trees: list[dict], classes: int) -> np.ndarray:
     n, f = x.shape
     credit = np.zeros((n, f + 1, classes))
     for t in trees:
+        value = t["value"].astype(np.float64) * t["weight"]
+        where = slice(None) if value.shape[1] == classes else slice(t["part"], t["part"] + 1)
         at = np.zeros(n, dtype=np.int64)
-        credit[:, f, :] += t["value"][0]
+        credit[:, f, where] += value[0]
         active = np.flatnonzero(t["left"][at] >= 0)
         while active.size:
             node = at[active]
             column = t["feature"][node]
             goes_left = x[active, column] <= t["threshold"][node]
             child = np.where(goes_left, t["left"][node], t["right"][node])
-            credit[active, column, :] += t["value"][child] - t["value"][node]
+            credit[active, column, where] += value[child] - value[node]
             at[active] = child
             active = active[t["left"][child] >= 0]
     return credit.transpose(0, 2, 1)
 
 
 def attribute(df: DataFrame, model: EventModel, keep: Sequence[str]) -> DataFrame:
-    """Long table: ``keep``, ``class``, ``feature``, ``value``; the feature ``bias`` is the root value."""
+    """Long table: ``keep``, ``class``, ``feature``, ``value``, and ``root_value``, the same for all features of a class.
+
+    A class's root value and the values of all its features add up to the model's output for it.
+    """
     spark = df.sparkSession
     trees = spark.sparkContext.broadcast(_trees(spark, model))
-    classes, width = len(model.labels), len(model.features) + 1
+    classes, features = len(model.labels), len(model.features)
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf("array<array<double>>")
     def credits(vectors: pd.Series) -> pd.Series:
         out = []
         for start in range(0, len(vectors), _BATCH):
             x = np.stack(vectors.iloc[start : start + _BATCH].to_numpy())
-            out.extend(_walk(x, trees.value, classes).reshape(len(x), -1))
+            out.extend([list(one) for one in _walk(x, trees.value, classes)])
         return pd.Series(out)
 
-    names = F.array(*[F.lit(n) for n in [*model.features, "bias"]])
+    names = F.array(*[F.lit(n) for n in model.features])
     labels = F.array(*[F.lit(x) for x in model.labels])
     made = assemble(df, model.features).select(*keep, credits(vector_to_array("features")).alias("_c"))
-    return made.select(*keep, F.posexplode("_c").alias("_i", "value")).select(
+    by_class = made.select(*keep, F.posexplode("_c").alias("_k", "_c"))
+    return by_class.select(
         *keep,
-        labels[F.floor(F.col("_i") / width).cast("int")].alias("class"),
-        names[F.col("_i") % width].alias("feature"),
-        "value",
-    )
+        labels[F.col("_k")].alias("class"),
+        F.element_at("_c", features + 1).alias("root_value"),
+        F.posexplode(F.slice("_c", 1, features)).alias("_i", "value"),
+    ).select(*keep, "class", names[F.col("_i")].alias("feature"), "value", "root_value")
 
 
 def top_features(table: DataFrame, score: str, n: int) -> DataFrame:
@@ -171,6 +187,31 @@ def attribution_report(values: DataFrame, sensors: Sequence[str], n: int = 10) -
 
 
 def attribution_json(report: DataFrame) -> DataFrame:
-    """One JSON document per class: at most the top features of each."""
+    """One JSON document per class: its top features."""
     entry = F.struct("rank", "feature", "sensor", "mean_abs")
     return report.groupBy("class").agg(F.to_json(F.sort_array(F.collect_list(entry))).alias("top_features"))
+
+
+def attribution_document(values: DataFrame, sensors: Sequence[str], labels: DataFrame, label: str = "class", n: int = 10) -> DataFrame:
+    """The whole report as one JSON document.
+
+    Per class its name, top features and the share of each sensor; the share of each sensor over all classes; how many
+    rows and features the attributions cover.
+    """
+    by_class = bounded(class_importance(values))
+    top = attribution_report(values, sensors, n)
+    tops = top.groupBy("class").agg(F.sort_array(F.collect_list(F.struct("rank", "feature", "sensor", "mean_abs"))).alias("top_features"))
+    shares = sensor_by_class(by_class, sensors).groupBy("class").agg(_shares())
+    named = with_label_text(tops.join(shares, "class", "left").withColumnRenamed("class", label), labels, label)
+    classes = named.agg(F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in named.columns]))).alias("classes"))
+    overall = sensor_importance(bounded(global_importance(values)), sensors).agg(_shares())
+    counts = values.groupBy("feature", "class").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.max("n").alias("rows"), F.count_distinct("feature").alias("features")
+    )
+    one = classes.crossJoin(overall).crossJoin(counts)  # three one-row tables
+    return one.select(F.to_json(F.struct("classes", "sensor_pct", "rows", "features")).alias("document"))
+
+
+def _shares():
+    entry = F.struct(F.col("sensor").alias("key"), F.round("pct", 1).alias("value"))
+    return F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("sensor_pct")

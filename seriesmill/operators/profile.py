@@ -151,26 +151,32 @@ def box_stats(df: DataFrame, spec: SeriesSpec, least: int = 5) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
-    """Counts and density over equal bins of [low, high]; values outside are left out.
+    """Counts and density over equal bins of [low, high], empty ones too; values outside are left out.
 
-    The last bin includes its upper edge.
+    The last bin includes its upper edge.  Without values the density is null.
     """
     width = (high - low) / bins
     v = F.col(column)
     place = F.least(F.floor((v - low) / width), F.lit(bins - 1)).cast("int")
     counts = df.where(v.between(low, high)).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return counts.select(
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    whole = every.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy())  # as many rows as bins
+    return whole.select(
         "bin",
         (F.lit(low) + F.col("bin") * F.lit(width)).alias("left_edge"),
         "n",
-        (F.col("n") / (total * F.lit(width))).alias("density"),
+        F.try_divide(F.col("n").cast("double"), total * F.lit(width)).alias("density"),
     )
 
 
 def histogram_of_range(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
+    """Bins between the extremes; a constant column gets a range of one around it, an empty one [0, 1]."""
     ends = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
-    return histogram(df, column, float(ends["lo"]), float(ends["hi"]), bins)
+    if ends["lo"] is None:
+        return histogram(df, column, 0.0, 1.0, bins)
+    low, high = float(ends["lo"]), float(ends["hi"])
+    return histogram(df, column, *((low, high) if low < high else (low - 0.5, high + 0.5)), bins)
 
 
 def busiest_entity(df: DataFrame, spec: SeriesSpec) -> DataFrame:

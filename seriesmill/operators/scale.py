@@ -117,7 +117,8 @@ def compare_scalers(df: DataFrame, sensor: str) -> DataFrame:
     """Minimum, maximum, mean, deviation and skewness of one sensor under each scaler."""
     rows = df.where(F.col(sensor).isNotNull()).select(sensor)
     plain = rows.agg(F.avg(sensor).alias("m"), F.stddev_pop(sensor).alias("s")).first()
-    z = (F.col(sensor) - F.lit(plain["m"])) / F.lit(plain["s"])
+    # a constant column is zero under every scaler; a column without values has no statistics
+    z = (F.col(sensor) - F.lit(plain["m"])) / F.lit(plain["s"] or 1.0)
     scaled = robust(rows, [sensor], [sensor, F.col(sensor).alias("original"), z.alias("zscore")])
     scaled = scaled.withColumnRenamed(f"{sensor}_robust", "robust")
     ends = rows.agg(F.min(sensor).alias("lo"), F.max(sensor).alias("hi")).first()

@@ -13,26 +13,38 @@ from seriesmill.operators.ranks import keys_at, label_by_cuts, rows_before
 from seriesmill.operators.silver import silver
 from seriesmill.operators.split import CUTS, SPLITS
 from seriesmill.session import fitted_shuffle
-from seriesmill.sources.bronze import LABEL_TEXT, bronze
+from seriesmill.sources.bronze import LABEL_TEXT, bronze, without_class
 from seriesmill.sources.catalog import enrich
-from seriesmill.sources.files import read_by_shape, size_of, union_missing, write_json, write_table
-from seriesmill.spec import WELL_SERIES, SeriesSpec, event_labels
+from seriesmill.sources.files import check_files, read_by_shape, size_of, union_missing, write_json, write_table
+from seriesmill.spec import SOURCE_FILE, SOURCE_ROW, WELL_SERIES, SeriesSpec, event_labels
 
 # Combined tables that ingestion leaves beside the series files.
 COMBINED_FILES = ("all_classes_combined.parquet", "all_classes_combined.csv")
 CLASS_DIRECTORY = r"/classe_(\d+)/"
 
 
-def run_bronze(spark: SparkSession, raw_dir: str, out: str, spec: SeriesSpec = WELL_SERIES) -> DataFrame:
-    """Read every series file under ``raw_dir``; entity and class come from its path."""
+def run_bronze(
+    spark: SparkSession, raw_dir: str, out: str, spec: SeriesSpec = WELL_SERIES, allow_bad: bool = True
+) -> DataFrame:
+    """Read every series file under ``raw_dir``; entity and class come from its path.
+
+    Beside the table, ``<out>_quarantine`` lists files that cannot be read in full, which are left out whole
+    (with ``allow_bad=False`` they stop the run), and ``<out>_removed`` counts rows per entity and those dropped for want of a class.
+    """
     labels = event_labels(spark)
-    parts = []
-    for part in read_by_shape(spark, raw_dir, COMBINED_FILES):
+    checked = check_files(spark, raw_dir, exclude=COMBINED_FILES)
+    bad = write_table(checked.where("status <> 'ok'").drop("columns", "digest"), f"{out}_quarantine")
+    if not allow_bad and not bad.isEmpty():
+        raise ValueError(f"files that cannot be read in full are listed in {out}_quarantine")
+    parts, removed = [], []
+    for part in read_by_shape(spark, raw_dir, COMBINED_FILES, checked):
         path_class = F.regexp_extract(F.col("_metadata.file_path"), CLASS_DIRECTORY, 1)
         has_class = "classe_evento" in part.columns
         tagged = part.select(
             "*",
             F.col("_metadata.file_name").alias("_file"),
+            F.col("_metadata.file_name").alias(SOURCE_FILE),
+            F.col("_metadata.row_index").alias(SOURCE_ROW),
             F.nullif(path_class, F.lit("")).try_cast("int").alias("_dir_class"),
         )
         if spec.entity not in part.columns:
@@ -40,6 +52,9 @@ def run_bronze(spark: SparkSession, raw_dir: str, out: str, spec: SeriesSpec = W
             known = F.col("classe_evento") if has_class else F.coalesce(F.col("_dir_class"), own)
             tagged = enrich(tagged, F.col("_file"), known, labels)
         parts.append(bronze(tagged, spec, labels))
+        removed.append(without_class(tagged, spec))
+    counted = union_missing(removed).groupBy(spec.entity).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_removed").alias("n_removed"))
+    write_table(counted, f"{out}_removed")
     return write_table(union_missing(parts), out)
 
 
@@ -80,7 +95,8 @@ def run_gold(df: DataFrame, out: str, spec: SeriesSpec = WELL_SERIES, **options)
     keep = [LABEL_TEXT] if LABEL_TEXT in df.columns else []
     rows, stats = gold(df, spec, keep=keep, **options)
     write_json(stats, f"{out}/scaler")
-    return write_table(rows.withColumn("gold_at", F.current_timestamp()), f"{out}/rows", ["split"])
+    placed = rows.drop(SOURCE_FILE, SOURCE_ROW).withColumn("gold_at", F.current_timestamp())
+    return write_table(placed, f"{out}/rows", ["split"])
 
 
 def run_all(spark: SparkSession, raw_dir: str, out: str, spec: SeriesSpec = WELL_SERIES, **options) -> DataFrame:

@@ -27,16 +27,26 @@ def train_and_tune(
     features: Sequence[str],
     key: Sequence[str],
     models: Sequence[str] = ("rf", "xgb", "lgb"),
-    max_rows: int | None = 500_000,
+    max_train_rows: int | None = 500_000,
     min_features: int = 10,
     steps: int = 50,
     params: dict[str, dict] | None = None,
 ) -> dict:
-    """Gate, sample, split, fit, tune on validation, score on validation and test."""
+    """Gate, split, fit, tune on validation, score on validation and test.
+
+    Models are fitted on at most ``max_train_rows`` rows of the train split, in the proportions of its classes.
+    Every validation row counts for the thresholds (and for the rounds of boosting) and every validation and test
+    row for the scores.
+    """
     require_gates(gold, min_features=min_features)
-    rows = sample.stratified_sample(gold, spec.label, key, max_rows) if max_rows else gold
-    rows = materialise(resplit_if_needed(rows, spec, key), "training-rows")
+    rows = resplit_if_needed(gold, spec, key)
+    if max_train_rows:
+        train = sample.stratified_sample(rows.where("split = 'train'"), spec.label, key, max_train_rows)
+        rows = train.unionByName(rows.where("split <> 'train'"))
+    rows = materialise(rows, "training-rows")
     fitted, base, tuned, thresholds = {}, None, None, {}
+    both: dict[str, DataFrame] = {}
+    confusions: dict[str, DataFrame] = {}
     for name in models:
         one = TRAINERS[name](rows, spec.label, features, **(params or {}).get(name, {}))
         fitted[name] = one
@@ -48,8 +58,12 @@ def train_and_tune(
         )
         scores = evaluate.f1_summary(evaluate.counts(decided, "y", "plain", ["split"]), ["split"])
         scores = scores.withColumn("model", F.lit(name))
-        gained = evaluate.f1_summary(evaluate.counts(decided.where("split = 'test'"), "y", "tuned"))
-        gained = gained.select(F.lit(name).alias("model"), F.col("f1_macro").alias("f1_tuned"))
+        after = evaluate.f1_summary(evaluate.counts(decided, "y", "tuned", ["split"]), ["split"])
+        both[name] = materialise(tuning_scores(scores.drop("model"), after), "tuning")
+        confusions[name] = materialise(
+            decided.groupBy("split", F.col("y").alias("actual"), "plain", "tuned").agg(F.count(F.lit(1)).alias("n")), "confusion"
+        )
+        gained = after.where("split = 'test'").select(F.lit(name).alias("model"), F.col("f1_macro").alias("f1_tuned"))
         base = scores if base is None else base.unionByName(scores)
         tuned = gained if tuned is None else tuned.unionByName(gained)
     return {
@@ -57,10 +71,20 @@ def train_and_tune(
         "thresholds": thresholds,
         "scores": base,
         "report": model_report(base, tuned),
+        "tuning": both,
+        "confusions": confusions,
         "rows": rows,
     }
 
 
+def tuning_scores(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Per split: each score with plain and with tuned decisions, and the difference."""
+    names = [c for c in before.columns if c != "split"]
+    joined = before.alias("b").join(after.alias("a"), "split")
+    made = [F.struct(F.col(f"b.{c}").alias("baseline"), F.col(f"a.{c}").alias("tuned"), (F.col(f"a.{c}") - F.col(f"b.{c}")).alias("delta")).alias(c) for c in names]
+    return joined.select("split", *made)
+
+
 def write_reports(done: dict, out: str) -> None:
     """Save the models, and their metrics, thresholds and comparison as JSON."""
     spark = done["rows"].sparkSession
@@ -70,6 +94,13 @@ def write_reports(done: dict, out: str) -> None:
     write_json(metrics_documents(done["scores"], union_missing(tables)), f"{out}/metrics")
     write_json(thresholds_document(done["thresholds"], spark), f"{out}/thresholds")
     write_json(done["report"], f"{out}/report")
+    for name, table in done["tuning"].items():
+        write_json(table, f"{out}/tuning/{name}")
+        cells = done["confusions"][name]
+        write_json(cells, f"{out}/confusion/{name}")
+        for side in ("plain", "tuned"):
+            one = cells.groupBy("split", "actual", F.col(side).alias("predicted")).agg(F.sum("n").alias("n"))
+            write_json(evaluate.class_report(one, by=["split"]), f"{out}/class_report/{name}/{side}")
 
 
 def score_index(fitted: model.EventModel, rows: DataFrame, label: str) -> DataFrame:
@@ -79,8 +110,8 @@ def score_index(fitted: model.EventModel, rows: DataFrame, label: str) -> DataFr
 
 
 def explain(
-    rows: DataFrame, fitted: model.EventModel, label: str, key: Sequence[str], per_class: int = 500
+    rows: DataFrame, fitted: model.EventModel, label: str, key: Sequence[str], per_class: int | None = None
 ) -> DataFrame:
-    """Attributions on an equal sample of every class, written once for their summaries."""
-    chosen = sample.equal_sample(rows, label, key, per_class)
+    """Attributions of all rows, written once for their summaries; of ``per_class`` rows of each class if asked for."""
+    chosen = sample.equal_sample(rows, label, key, per_class) if per_class else rows
     return materialise(attribution.attribute(chosen, fitted, list(key)), "attributions")

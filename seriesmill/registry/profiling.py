@@ -161,8 +161,9 @@ Z = "(l_extendedprice - (SELECT avg(l_extendedprice) FROM lineitem)) / (SELECT s
 
 def histogram_sql(value: str, low: str, width: str, bins: int) -> str:
     return f"""WITH v AS (SELECT {value} AS x FROM lineitem), e AS (SELECT {low} AS lo, {width} AS w),
-      b AS (SELECT least(floor((x - lo) / w), {bins - 1})::INT AS bin, count(*) AS n FROM v, e WHERE x BETWEEN lo AND lo + w * {bins} + 1e-9 GROUP BY 1)
-      SELECT bin, {r6('lo + bin * w', 'left_edge')}, n, {r6('n / (sum(n) OVER () * w)', 'density')} FROM b, e"""
+      b AS (SELECT least(floor((x - lo) / w), {bins - 1})::INT AS bin, count(*) AS n FROM v, e WHERE x BETWEEN lo AND lo + w * {bins} + 1e-9 GROUP BY 1),
+      a AS (SELECT range::INT AS bin, coalesce(n, 0) AS n FROM range({bins}) LEFT JOIN b ON b.bin = range::INT)
+      SELECT bin, {r6('lo + bin * w', 'left_edge')}, n, {r6('n / (sum(n) OVER () * w)', 'density')} FROM a, e"""
 
 
 @query("histogram", histogram_sql(Z, "-4.0::DOUBLE", "8.0::DOUBLE / 39", 39))

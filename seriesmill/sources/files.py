@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmill.session import SMALL_ROWS
+from seriesmill.session import materialise
 
 FOOTER_SCHEMA = "path string, valid boolean, n_rows bigint, n_cols int, columns string, error string"
 
@@ -23,11 +23,6 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType, exclude:
     return rows.where(~F.col("_metadata.file_name").isin(*exclude)) if exclude else rows
 
 
-def tolerant_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """As a scan, skipping files that cannot be read."""
-    return spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
-
-
 def list_entities(df: DataFrame, entity: str) -> DataFrame:
     return df.select(entity).where(F.col(entity).isNotNull()).distinct()
 
@@ -46,17 +41,30 @@ def plain_path(column: Column) -> Column:
 
 
 def _footer(path: str) -> tuple:
+    """What the footer says; only contents that are no Parquet make a file invalid.
+
+    Errors of the store (credentials, network, unknown schemes) are raised: they say nothing about the file.
+    """
+    import pyarrow as pa
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
-    try:
-        fs, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-        with fs.open_input_file(inner) as f:
+    fs, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    with fs.open_input_file(inner) as f:
+        size = f.size()
+        try:
             meta = pq.ParquetFile(f)
-            shape = ", ".join(f"{c.name} {c.type}" for c in meta.schema_arrow)
-            return path, True, meta.metadata.num_rows, meta.metadata.num_columns, shape, None
-    except Exception as error:  # noqa: BLE001 - any failure means the file is not usable
-        return path, False, None, None, None, f"{type(error).__name__}: {error}"[:500]
+        except (pa.ArrowInvalid, OSError) as error:
+            if isinstance(error, OSError) and not isinstance(error, pa.ArrowInvalid) and size and not _thrift(error):
+                raise
+            return path, False, None, None, None, f"{type(error).__name__}: {error}"
+        shape = ", ".join(f"{c.name} {c.type}" for c in meta.schema_arrow)
+        return path, True, meta.metadata.num_rows, meta.metadata.num_columns, shape, None
+
+
+def _thrift(error: OSError) -> bool:
+    """Whether a footer could be fetched but not understood."""
+    return "thrift" in str(error).lower() or "deserialize" in str(error).lower()
 
 
 def validate_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
@@ -77,6 +85,34 @@ def validate_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> D
     return listed.mapInPandas(read, FOOTER_SCHEMA)
 
 
+def check_files(spark: SparkSession, path: str, glob: str = "*.parquet", exclude: Sequence[str] = ()) -> DataFrame:
+    """Footers and contents of every file, a written table: path, status, n_rows, n_read, columns, digest, error.
+
+    ``status`` is ``unreadable`` where the footer is no Parquet, ``damaged`` where fewer rows can be decoded
+    than the footer counts, else ``ok``.  Every page of every file is decoded once, by Spark, on its own
+    settings for the store; footers are read once.  ``digest`` is over the decoded rows in any order.
+    """
+    checked = validate_files(spark, path, glob)
+    if exclude:
+        checked = checked.where(~F.element_at(F.split("path", "/"), -1).isin(*exclude))
+    checked = materialise(checked, "footers")
+    counted = None
+    for part in _by_shape(spark, checked.where("valid"), {"ignoreCorruptFiles": "true"}):
+        whole = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in part.columns])
+        decoded = part.select(plain_path(F.col("_metadata.file_path")).alias("path"), whole.alias("h"))
+        counts = decoded.groupBy("path").agg(F.count("h").alias("n_read"), F.bit_xor("h").alias("digest"))
+        counted = counts if counted is None else counted.unionByName(counts)
+    if counted is None:
+        counted = spark.createDataFrame([], "path string, n_read long, digest long")
+    n_read = F.when(F.col("valid"), F.coalesce("n_read", F.lit(0)))
+    status = F.when(~F.col("valid"), "unreadable").when(F.col("n_rows") > n_read, "damaged").otherwise("ok")
+    error = F.coalesce("error", F.when(status == "damaged", F.lit("fewer rows than its footer counts")))
+    joined = checked.join(counted, "path", "left")
+    return materialise(
+        joined.select("path", status.alias("status"), "n_rows", n_read.alias("n_read"), "columns", "digest", error.alias("error")), "files"
+    )
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes of the Parquet files under ``path``, from the listing."""
     listed = (
@@ -88,37 +124,42 @@ def size_of(spark: SparkSession, path: str) -> int:
     return listed.agg(F.sum("length")).first()[0] or 0
 
 
-def corrupt_report(spark: SparkSession, path: str) -> DataFrame:
-    """Files that a tolerant scan leaves out, with the reason."""
-    return validate_files(spark, path).where("NOT valid").select("path", "error")
+def corrupt_report(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+    """Files that cannot be read in full, with the reason."""
+    return check_files(spark, path, glob).where("status <> 'ok'").select("path", "status", "n_rows", "n_read", "error")
 
 
-def read_by_shape(spark: SparkSession, path: str, exclude: Sequence[str] = ()) -> list[DataFrame]:
-    """One frame per distinct footer schema under ``path``; unreadable files are skipped.
+def read_by_shape(
+    spark: SparkSession, path: str, exclude: Sequence[str] = (), checked: DataFrame | None = None
+) -> list[DataFrame]:
+    """One frame per distinct footer schema of the files that ``check_files`` finds whole.
 
-    Nanosecond timestamps, which Spark does not read, arrive as long counts.
+    A file that fails later all the same stops the job.  Nanosecond timestamps, which Spark does not read,
+    arrive as long counts.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    checked = validate_files(spark, path).where("valid")
-    if exclude:
-        checked = checked.where(~F.element_at(F.split("path", "/"), -1).isin(*exclude))
-    shapes = [r[0] for r in checked.select("columns").distinct().limit(SMALL_ROWS).collect()]
-    if len(shapes) == 1:
-        whole = _read(spark, [path])
-        return [whole.where(~F.col("_metadata.file_name").isin(*exclude)) if exclude else whole]
-    # the driver lists files for every scan; here it keeps their names by shape
-    return [
-        _read(spark, [r[0] for r in checked.where(F.col("columns") == s).select("path").collect()]) for s in shapes
-    ]
+    checked = checked if checked is not None else check_files(spark, path, exclude=exclude)
+    return list(_by_shape(spark, checked.where("status = 'ok'"), {}))
 
 
-def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
-    options = {"ignoreCorruptFiles": "true", "recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
-    return spark.read.options(**options).parquet(*paths)
+def _by_shape(spark: SparkSession, files: DataFrame, options: dict[str, str]) -> Iterator[DataFrame]:
+    """Scans of the files, shape by shape; the driver lists files for every scan and here keeps their names."""
+    legacy = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(legacy, None)
+    spark.conf.set(legacy, "true")
+    try:
+        scans = []
+        for shape in files.select("columns").distinct().orderBy("columns").toLocalIterator():
+            paths = [r["path"] for r in files.where(F.col("columns") == shape["columns"]).select("path").toLocalIterator()]
+            scans.append(spark.read.options(**options).parquet(*paths))
+    finally:
+        spark.conf.unset(legacy) if before is None else spark.conf.set(legacy, before)
+    yield from scans
 
 
 def union_missing(parts: Sequence[DataFrame]) -> DataFrame:
     """Union by name; columns that a part lacks are null."""
+    if not parts:
+        raise ValueError("no part to unite: no readable file was found")
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part, allowMissingColumns=True)

@@ -130,10 +130,14 @@ def ordered(*names: str) -> list[Column]:
     return [F.col(n).asc_nulls_last() for n in names]
 
 
+# Where a row was read: completes the order of a series, and is gone from Gold.
+SOURCE_FILE, SOURCE_ROW = "source_file", "source_row"
+
 WELL_SERIES = SeriesSpec(
     entity="ID_Poco",
     label="class",
     ts="timestamp",
     sensors=WELL_SENSORS,
     ranges=WELL_RANGES,
+    tiebreak=(SOURCE_FILE, SOURCE_ROW),
 )

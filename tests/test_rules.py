@@ -209,3 +209,15 @@ def test_label_text_default(spark):
     df = spark.createDataFrame([(0,), (99,), (None,)], "c int")
     got = [r["event"] for r in profile.with_label_text(df, event_labels(spark), "c").collect()]
     assert got == ["Normal", "Desconhecido", "Desconhecido"]
+
+
+def test_histogram_has_every_bin_and_takes_constant_and_empty_columns(spark):
+    from seriesmill.operators import profile, scale
+
+    df = spark.createDataFrame([(0.0, 3.0, None), (10.0, 3.0, None)], "a double, b double, c double")
+    a = sorted((r["bin"], r["n"]) for r in profile.histogram_of_range(df, "a", 5).collect())
+    assert a == [(0, 1), (1, 0), (2, 0), (3, 0), (4, 1)]
+    assert sum(r["n"] for r in profile.histogram_of_range(df, "b", 5).collect()) == 2
+    assert [r["n"] for r in profile.histogram_of_range(df, "c", 2).collect()] == [0, 0]
+    assert {r["method"]: r["mean"] for r in scale.compare_scalers(df, "b").collect()} == {"original": 3.0, "zscore": 0.0, "minmax": 0.0, "robust": 0.0}
+    assert scale.compare_scalers(df, "c").count() in (0, 4)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -57,9 +59,55 @@ def test_validate_reports_broken_files(spark, raw):
     assert files.corrupt_report(spark, str(raw)).count() == 1
 
 
+def test_damaged_pages_are_reported_and_left_out(spark, raw, tmp_path):
+    path = raw / "classe_0" / "WELL-00007_20240101000000.parquet"
+    times = pd.date_range("2024-01-01", periods=20_000, freq="1s").astype("datetime64[us]")
+    write(path, pd.DataFrame({"timestamp": times, "P-PDG": np.random.default_rng(0).normal(size=20_000)}), row_group_size=5_000)
+    content = bytearray(path.read_bytes())
+    half, end = len(content) // 2, len(content) * 9 // 10  # the footer stays whole
+    content[half:end] = b"\xff" * (end - half)
+    path.write_bytes(bytes(content))
+    bad = {r["path"].rsplit("/", 1)[1]: r for r in files.corrupt_report(spark, str(raw)).collect()}
+    assert bad["WELL-00009_20240101000000.parquet"]["status"] == "unreadable"
+    damaged = bad["WELL-00007_20240101000000.parquet"]
+    assert damaged["status"] == "damaged" and damaged["n_rows"] == 20_000 > damaged["n_read"]
+    bronze = medallion.run_bronze(spark, str(raw), str(tmp_path / "bronze"))
+    assert bronze.where("ID_Poco = '00007'").isEmpty() and bronze.count() == 23
+    assert spark.read.parquet(str(tmp_path / "bronze_quarantine")).count() == 2
+    removed = {r["ID_Poco"]: (r["n_rows"], r["n_removed"]) for r in spark.read.parquet(str(tmp_path / "bronze_removed")).collect()}
+    assert removed == {"00001": (12, 0), "00002": (6, 0), "00003": (6, 1)}
+    with pytest.raises(ValueError, match="quarantine"):
+        medallion.run_bronze(spark, str(raw), str(tmp_path / "strict"), allow_bad=False)
+
+
+def test_nanoseconds_keep_every_microsecond(spark):
+    from seriesmill.sources.bronze import time_column
+
+    micros = [1_700_000_000_000_001 + 7 * i for i in range(1000)] + [-1, 0]
+    frame = spark.createDataFrame([(m * 1000 + (1 if m >= 0 else 0),) for m in micros], "timestamp long")
+    got = [r[0] for r in frame.select(F.unix_micros(time_column(frame))).collect()]
+    assert got == micros
+
+
+def test_layers_do_not_depend_on_the_order_of_input(spark):
+    rng = np.random.default_rng(3)
+    rows = [
+        ((pd.Timestamp("2024-01-01") + pd.Timedelta(int(t), "s")).to_pydatetime(), str(w), int(c), f"f{f}", i, "x", *[None if rng.random() < 0.3 else float(v) for v in rng.normal(size=8)])
+        for i, (t, w, c, f) in enumerate(zip(rng.integers(0, 40, 400), rng.choice(["a", "b"], 400), rng.integers(0, 2, 400), rng.integers(0, 3, 400)))
+    ]
+    kinds = "timestamp timestamp, ID_Poco string, class tinyint, source_file string, source_row long, nome_evento string, "
+    kinds += ", ".join(f"`{s}` double" for s in WELL_SENSORS)
+    made = []
+    for seed in range(3):
+        order = np.random.default_rng(seed).permutation(len(rows))
+        frame = spark.createDataFrame([rows[i] for i in order], kinds).repartition(seed + 1)
+        made.append(sorted(map(str, medallion.silver(frame, WELL_SERIES).select(*WELL_SERIES.meta, *WELL_SENSORS).collect())))
+    assert made[0] == made[1] == made[2]
+
+
 def test_bronze_types_every_shape(spark, raw, tmp_path):
     bronze = medallion.run_bronze(spark, str(raw), str(tmp_path / "bronze"))
-    assert bronze.columns == ["timestamp", "ID_Poco", "class", "nome_evento", *WELL_SENSORS, "bronze_at"]
+    assert bronze.columns == ["timestamp", "ID_Poco", "class", "source_file", "source_row", "nome_evento", *WELL_SENSORS, "bronze_at"]
     got = {(r["ID_Poco"], r["class"]): r["n"] for r in bronze.groupBy("ID_Poco", "class").agg(F.count(F.lit(1)).alias("n")).collect()}
     # the directory class wins over the row class; the row without any class is gone
     assert got == {("00001", 0): 6, ("00002", 0): 6, ("00001", 4): 6, ("00003", 1): 5}
@@ -103,7 +151,7 @@ def test_gold_by_time_and_drop_any(spark, raw, tmp_path):
     rows = [(t.to_pydatetime(), w, 0, "Normal", *([float(i)] * 8)) for w in ("a", "b") for i, t in enumerate(times)]
     kinds = "timestamp timestamp, ID_Poco string, class tinyint, nome_evento string, " + ", ".join(f"`{s}` double" for s in WELL_SENSORS)
     silver = spark.createDataFrame(rows, kinds)
-    gold, _ = medallion.gold(silver, WELL_SERIES, "drop_any", by_time=True)
+    gold, _ = medallion.gold(silver, replace(WELL_SERIES, tiebreak=()), "drop_any", by_time=True)
     assert gold.count() == 70  # five rows of each well have no lag 5
     last = gold.groupBy("split").agg(F.max("timestamp").alias("t"), F.count(F.lit(1)).alias("n")).collect()
     got = {r["split"]: r for r in last}
