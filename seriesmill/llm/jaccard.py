@@ -1,8 +1,8 @@
 """Documents linked by the Jaccard similarity of their word shingles, with signature trees.
 
 Documents with one shingle set form a class; only classes are compared.  Shingles are put into one order for
-all documents, common ones last, and a class is known by the first few of its shingles there: two sets that link
-share at least one of these.  The classes of one such shingle are a group.
+all documents, common ones last, and a class is known by the first quarter or so of its shingles there: two sets that link
+share some of these, the more the larger they are.  The classes of one such shingle are a group.
 
 Leaders: each group has a leader, first the class whose shingles are held by most others, later one drawn by hash.  A class is compared
 exactly with the leader it meets in most groups, and linked classes are contracted, so that a thousand near copies no longer
@@ -11,7 +11,7 @@ need a million comparisons.  Repeated, this leaves the groups in which several c
 Trees: the members of such a group, by size, are the leaves of a tree whose nodes hold the OR of the token bitmaps below and their
 range of sizes.  Two nodes are descended into together unless their sizes exclude a link, the overlap that
 their bitmaps allow is below what a link needs, or all below belongs to one component already.  The top nodes
-are rows, so a large group is spread over tasks by pairs of nodes.  Leaf pairs that survive are compared exactly.
+are rows, so a large group is spread over tasks by pairs of nodes.  Leaf pairs that survive in as many groups as their size asks for are compared exactly.
 
 Exactness: sets hold 64-bit hashes of shingles, and a class is named by a 64-bit hash of its set; two sets of one name raise an
 error.  The order of shingles, the leaders and the bitmaps affect work, never links.
@@ -58,9 +58,17 @@ def least_overlap(a, b):
     return -((a + b) * -PERCENT // (100 + PERCENT))
 
 
+def shared_least(n):
+    """First shingles that a set of ``n`` shares with any linked set at least: more for larger sets."""
+    return 1 + n // 16
+
+
 def prefix_length(n: int) -> int:
-    """Shingles of a set of ``n`` of which a linked set must hold one: all but the least overlap, and one."""
-    return n - -(-n * PERCENT // 100) + 1
+    """Shingles of a set of ``n`` of which a linked set holds ``shared_least(n)``: all but the least overlap, and those."""
+    return n - -(-n * PERCENT // 100) + shared_least(n)
+
+
+# ---- passes over the texts
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -416,22 +424,27 @@ def group_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         if held is not None and held.num_rows:
             yield from _group_rows(held, node)
 
-    schema = "a long, b long, token long, node int, low long, high long, one long, names binary, sizes binary, roots binary, signatures binary"
+    schema = "a long, b long, need long, token long, node int, low long, high long, one long, names binary, sizes binary, roots binary, signatures binary"
     ordered = rows.repartition("token").sortWithinPartitions("token", "n", "class")
     made = materialise(ordered.mapInArrow(over, schema), "groups")
-    return made.where("token IS NULL").select("a", "b"), made.where("token IS NOT NULL").drop("a", "b")
+    return made.where("token IS NULL").select("a", "b", "need"), made.where("token IS NOT NULL").drop("a", "b", "need")
 
 
 _ROW = pa.schema(
-    [("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64()), ("node", pa.int32())]
+    [("a", pa.int64()), ("b", pa.int64()), ("need", pa.int64()), ("token", pa.int64()), ("node", pa.int32())]
     + [(c, pa.int64()) for c in ("low", "high", "one")]
     + [(c, pa.binary()) for c in ("names", "sizes", "roots", "signatures")]
 )
 
 
-def _pair_rows(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
-    return pa.RecordBatch.from_arrays(columns + [pa.nulls(len(a), f.type) for f in list(_ROW)[2:]], schema=_ROW)
+def _pair_columns(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[pa.Array]:
+    """a, b, and in how many groups the pair must be met."""
+    return [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(shared_least(np.minimum(n_a, n_b)))]
+
+
+def _pair_rows(*columns: np.ndarray) -> pa.RecordBatch:
+    made = _pair_columns(*columns)
+    return pa.RecordBatch.from_arrays(made + [pa.nulls(len(made[0]), f.type) for f in list(_ROW)[3:]], schema=_ROW)
 
 
 def _top_row(rows: pa.Table, node: int) -> pa.RecordBatch:
@@ -471,7 +484,7 @@ def _group_rows(rows: pa.Table, node: int) -> Iterator[pa.RecordBatch]:
             u = i[first : first + AT_ONCE]
             u = u[_may_link(members, members, u, u + step)]
             if len(u):
-                yield _pair_rows(names[u], names[u + step])
+                yield _pair_rows(names[u], names[u + step], members["low"][u], members["low"][u + step])
     for g in np.flatnonzero(sizes > FAN).tolist():
         if g == 0 and node:
             continue
@@ -482,7 +495,8 @@ def _group_rows(rows: pa.Table, node: int) -> Iterator[pa.RecordBatch]:
             continue
         tree = Tree(names[at], {k: x[at] for k, x in members.items()})
         for i, j in traverse(tree, tree, True):
-            yield _pair_rows(tree.names[i], tree.names[j])
+            low = tree.levels[0]["low"]
+            yield _pair_rows(tree.names[i], tree.names[j], low[i], low[j])
 
 
 def node_pairs(nodes: DataFrame) -> DataFrame:
@@ -501,14 +515,14 @@ def node_pairs(nodes: DataFrame) -> DataFrame:
                 same = row["node"] == row["node_b"]
                 right = left if same else tree(row, "_b")
                 for i, j in traverse(left, right, same):
-                    a, b = left.names[i], right.names[j]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                    made = _pair_columns(left.names[i], right.names[j], left.levels[0]["low"][i], right.levels[0]["low"][j])
+                    yield pa.RecordBatch.from_arrays(made, names=["a", "b", "need"])
 
     other = nodes.select(*[F.col(c).alias(c if c == "token" else f"{c}_b") for c in nodes.columns])
     met = nodes.join(other, "token").where(
         f"node <= node_b AND 100 * least(high, high_b) >= {PERCENT} * greatest(low, low_b) AND NOT coalesce(one = one_b, false)"
     )
-    return met.mapInArrow(over, "a long, b long")
+    return met.mapInArrow(over, "a long, b long, need long")
 
 
 # ---- the join
@@ -561,7 +575,8 @@ def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     several = placed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
     left = placed.join(several, "token", "left_semi").join(classes.select("class", "signature"), "class")
     near, nodes = group_pairs(left)
-    pairs = materialise(near.unionByName(node_pairs(nodes)).distinct(), "pairs")
+    met = near.unionByName(node_pairs(nodes)).groupBy("a", "b", "need").agg(F.count(F.lit(1)).alias("times"))
+    pairs = materialise(met.where("times >= need").select("a", "b"), "pairs")
     found = links(docs, firsts, pairs)
     return smallest_reachable(found if edges is None else edges.unionByName(found))
 
