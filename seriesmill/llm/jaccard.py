@@ -582,7 +582,7 @@ def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame) -> DataFrame:
-    """doc_id, key, n_shingles, component_id (smallest doc_id that links reach) of every document."""
+    """doc_id, key, n_shingles, component_id (smallest doc_id that links reach), root (a class of the component)."""
     docs = docs.select("doc_id", "text")
     members = materialise(members_of(docs), "members")
     classes = materialise(
@@ -602,25 +602,25 @@ def components(docs: DataFrame) -> DataFrame:
         raise ValueError("two shingle sets have one name")
     placed = _roots_on(classes.select("class", "least"), class_links(docs, classes))
     lowest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    answer = materialise(placed.join(lowest, "root").select("class", "component_id"), "answer")
+    answer = materialise(placed.join(lowest, "root").select("class", "component_id", "root"), "answer")
     joined = members.drop("signature").join(answer, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), own.alias("component_id"), "root")
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    return components(docs).drop("key")
+    return components(docs).drop("key", "root")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest id of each component, once each, with all their columns.
+    """The document with the smallest id of each component, once, with all its columns.
 
-    Documents without shingles all stay.
+    Documents without shingles all stay; one without id stays only where no other of its component has one.
     """
     found = materialise(components(docs), "components")
-    first: Column = F.min(F.struct("doc_id", "key"))
-    firsts = found.where("n_shingles > 0").groupBy("component_id").agg(first.alias("d"), F.count(F.lit(1)).alias("rows"))
+    first: Column = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    firsts = found.where("n_shingles > 0").groupBy("root").agg(first.alias("d"))
     kept = firsts.select(F.col("d.doc_id").alias("_id"), F.col("d.key").alias("_key"))
     blank = found.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
     chosen = materialise(kept.unionByName(blank).distinct(), "kept")

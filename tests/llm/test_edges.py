@@ -87,7 +87,7 @@ def test_toxicity(docs, none, spark, make):
     labels = spark.createDataFrame([(1, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     assert {r.toxic for r in toxicity.score(docs, labels).collect()} == {False}
     assert toxicity.score(none, labels.limit(0)).count() == 0
-    texts = make([(i, ("you fool " if i % 3 == 0 else "") + f"text number {i % 7}") for i in range(300)] + [(900, None), (901, "FOOL, really")])
+    texts = make([(i, ("you fool " if i % 3 == 0 else "") + f"text number {i % 7}") for i in range(300)] + [(900, None), (901, "You FOOL, really")])
     known = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
     scored = {r.doc_id: r.toxic for r in toxicity.score(texts, known).collect()}
     assert all(scored[i] == (i % 3 == 0) for i in range(300)) and scored[901] and not scored[900]
