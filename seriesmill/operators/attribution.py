@@ -203,7 +203,8 @@ def attribution_document(values: DataFrame, sensors: Sequence[str], labels: Data
     tops = top.groupBy("class").agg(F.sort_array(F.collect_list(F.struct("rank", "feature", "sensor", "mean_abs"))).alias("top_features"))
     shares = sensor_by_class(by_class, sensors).groupBy("class").agg(_shares())
     named = with_label_text(tops.join(shares, "class", "left").withColumnRenamed("class", label), labels, label)
-    classes = named.agg(F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in named.columns]))).alias("classes"))
+    by_label = lambda x, y: F.when(x[label] < y[label], -1).when(x[label] > y[label], 1).otherwise(0)
+    classes = named.agg(F.array_sort(F.collect_list(F.struct(*named.columns)), by_label).alias("classes"))
     overall = sensor_importance(bounded(global_importance(values)), sensors).agg(_shares())
     counts = values.groupBy("feature", "class").agg(F.count(F.lit(1)).alias("n")).agg(
         F.max("n").alias("rows"), F.count_distinct("feature").alias("features")

@@ -101,4 +101,6 @@ def _by_bracket(df: DataFrame, by: list[str], probs: dict[str, float], value: st
             at[part] = F.max(F.when(holds, F.col("_v")))
         part = F.first(rank - F.floor(rank))
         outputs.append((at["lo"] + (at["hi"] - at["lo"]) * part).alias(name))
-    return ranked.groupBy(*by).agg(*outputs)
+    missed = F.raise_error(F.lit("a bracket of the sketch does not hold its rank; raise accuracy"))
+    found = ranked.groupBy(*by).agg(*outputs)
+    return found.select(*by, *[F.coalesce(F.col(name), missed).alias(name) for name in probs])

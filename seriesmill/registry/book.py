@@ -12,9 +12,6 @@ from seriesmill.functions.columns import rounded
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# The rounding only serves the comparison with SQL; the bench times the work without it.
-COMPARABLE = True
-
 
 def query(name: str, sql: str | None = None):
     def register(fn):
@@ -32,8 +29,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def tidy(df: DataFrame, coarse: Sequence[str] = ()) -> DataFrame:
     """Doubles rounded to six places, ``coarse`` ones to four: sums in another order compare equal."""
-    if not COMPARABLE:
-        return df
     return df.select(
         *[
             rounded(F.col(c), 4 if c in coarse else 6).alias(c) if t == "double" else F.col(c)
