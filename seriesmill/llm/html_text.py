@@ -6,7 +6,8 @@ words; short blocks stay undecided.  The second pass gives an undecided
 block the label of its nearest decided neighbours: good between two good ones, else
 bad, save for a heading before good text.  Blocks inside elements
 that are never the article (menus, headers of the page, footers, forms, adverts, notices,
-comments, by element or by the words of class and id) are bad from the start.  Inside an
+comments, by element or by the words of class and id) are bad from the start, and so are hidden
+ones.  A name does not count for an element that holds a main element or the longest article.  Inside an
 ``article`` or ``main`` element a block is taken to belong unless links fill it.
 
 Edge cases: null, empty and text-free pages give an empty text.  Text outside any
@@ -43,6 +44,9 @@ NEVER_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments reply replies disqus".split())
 # "has-sidebar" names a page with a side bar, not the bar
 WITH_WORDS = frozenset("has with no without".split())
+# "sidebar-layout" and "content-sidebar-wrap" name what holds text and bar together
+BAR_WORDS = frozenset("sidebar side aside rail".split())
+WRAP_WORDS = frozenset("wrap wrapper container grid row".split())
 
 # Frequent small words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
@@ -70,63 +74,127 @@ _SKIP = re.compile(
     re.S | re.I,
 )
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+(?=>)|[^<>]*+)>")
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++)))?+")
+# "hidden md:block": hidden on small screens only
+_SHOWN = re.compile(r"[a-z0-9-]+:(?:block|flex|grid|contents|flow-root|table|inline(?:-[a-z]+)?|visible|not-hidden)")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+class Mark:
+    """An element that names or hides what it holds, and the marked element around it."""
+
+    __slots__ = ("around", "bad", "freed", "named")
+
+    def __init__(self, around: Mark | None, named: bool):
+        self.around, self.named = around, named
+        self.freed = False  # holds the article, so its name does not count
+        self.bad = True
+
+
 class Block:
-    __slots__ = ("article", "heading", "linked", "never", "parts")
+    __slots__ = ("article", "heading", "linked", "mark", "never", "parts")
 
-    def __init__(self, never: bool, article: bool, heading: bool):
+    def __init__(self, mark: Mark | None, article: bool, heading: bool):
         self.parts: list[str] = []
         self.linked = 0
-        self.never, self.article, self.heading = never, article, heading
+        self.never = False
+        self.mark, self.article, self.heading = mark, article, heading
 
 
-def _named_never(name: str, attributes: str) -> bool:
-    """Whether the words of class, id and role say that an element is not the article."""
-    if name in ("html", "body", "main") or not attributes:
+def _attributes(written: str) -> dict[str, str]:
+    """Values by lower-case name; of repeated names the first counts, a bare name has an empty value."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(written):
+        found.setdefault(m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or "")
+    return found
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    """Whether an element is not shown: by its attributes, its style or the exact class."""
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    classes = attributes.get("class", "").lower().split()
+    if "hidden" in classes and not any(_SHOWN.fullmatch(c) for c in classes):
+        return True
+    for rule in attributes.get("style", "").lower().split(";"):
+        name, _, value = rule.partition(":")
+        if (name.strip(), value.replace("!important", "").strip()) in (("display", "none"), ("visibility", "hidden")):
+            return True
+    return False
+
+
+def _holds_both(parts: list[str]) -> bool:
+    """Whether a name is that of a wrapper around text and bar."""
+    if BAR_WORDS.isdisjoint(parts):
         return False
+    return "layout" in parts or (not {"content", "main"}.isdisjoint(parts) and not WRAP_WORDS.isdisjoint(parts))
+
+
+def _named_never(name: str, attributes: dict[str, str]) -> bool:
+    """Whether the words of class, id and role say that an element is not the article."""
     words = COMMENT_WORDS if name == "article" else NEVER_WORDS
-    for m in _NAMES.finditer(attributes):
-        for value in next(g for g in m.groups() if g is not None).lower().split():
+    for key in ("class", "id", "role"):
+        for value in attributes.get(key, "").lower().split():
             parts = re.split(r"[^a-z]+", value)
-            if not words.isdisjoint(parts) and WITH_WORDS.isdisjoint(parts):
+            if not words.isdisjoint(parts) and WITH_WORDS.isdisjoint(parts) and not _holds_both(parts):
                 return True
-    return bool(_HIDDEN.search(attributes))
+    return False
+
+
+def _free(marks: list[Mark], articles: list[tuple[Mark | None, int | None]]) -> None:
+    """Names do not condemn what holds a main element, or an article of at least half the text of the longest one.
+
+    Shorter articles (teasers of other pages) leave the names around them as they are.
+    """
+    longest = max((n for _, n in articles if n is not None), default=0)
+    for mark, n in articles:
+        if n is not None and (2 * n < longest or not n):
+            continue
+        while mark is not None and not mark.freed:
+            mark.freed = True
+            mark = mark.around
+    for mark in marks:  # outer ones first
+        mark.bad = not (mark.named and mark.freed) or (mark.around is not None and mark.around.bad)
 
 
 def blocks(html: str) -> list[tuple[str, Block]]:
     """Blocks with text, in page order: (text, block)."""
     html = _SKIP.sub(lambda m: " " if m.group(1) else "", html)
-    open_tags: list[tuple[str, bool]] = []  # name, starts a stretch that is never the article
-    never = article = links = heading = 0
+    # name, the marks around it, of an article or main element its place in articles
+    open_tags: list[tuple[str, Mark | None, int]] = []
+    mark: Mark | None = None
+    article = links = heading = 0
+    held = 0  # characters outside links so far
     made: list[Block] = []
+    marks: list[Mark] = []
+    articles: list[tuple[Mark | None, int | None]] = []  # the marks around it, its characters (none: a main element)
     current: Block | None = None
     at = 0
 
     def close(upto: int) -> None:
-        nonlocal never, article, links, heading
+        nonlocal mark, article, links, heading
         while len(open_tags) > upto:
-            name, bad = open_tags.pop()
-            never -= bad
+            name, mark, place = open_tags.pop()
+            if name == "article" and place >= 0:
+                articles[place] = (articles[place][0], articles[place][1] + held)
             article -= name in ("article", "main")
             links -= name == "a"
             heading -= name in HEADINGS
 
     def take(text: str) -> None:
-        nonlocal current
+        nonlocal current, held
         if not text:
             return
         if current is None:
             if text.isspace():
                 return
-            current = Block(never > 0, article > 0, heading > 0)
+            current = Block(mark, article > 0, heading > 0)
             made.append(current)
         current.parts.append(text)
         if links:
             current.linked += len(text.strip())
+        else:
+            held += len(text.strip())
 
     for m in _TAG.finditer(html):
         take(html[at : m.start()])
@@ -158,13 +226,28 @@ def blocks(html: str) -> list[tuple[str, Block]]:
                 if open_tags[i][0] in BLOCK_TAGS:
                     break
         inside = article > 0
-        bad = name in NEVER_TAGS or (name == "header" and not inside) or _named_never(name, m.group(3))
-        open_tags.append((name, bad))
-        never += bad
+        bad = name in NEVER_TAGS or (name == "header" and not inside)
+        named = False
+        if not bad and m.group(3) and name not in ("html", "body", "main"):
+            attributes = _attributes(m.group(3))
+            bad = _hidden(attributes)
+            named = not bad and _named_never(name, attributes)
+        place = -1
+        if not (bad or named) and name in ("article", "main"):
+            place = len(articles)
+            articles.append((mark, None if name == "main" else -held))
+        open_tags.append((name, mark, place))
+        if bad or named:
+            mark = Mark(mark, named)
+            marks.append(mark)
         article += name in ("article", "main")
         links += name == "a"
         heading += name in HEADINGS
     take(html[at:])
+    close(0)
+    _free(marks, articles)
+    for b in made:
+        b.never = b.mark is not None and b.mark.bad
     texts = [(" ".join(unescape("".join(b.parts)).split()), b) for b in made]
     return [(t, b) for t, b in texts if t]
 
