@@ -2,7 +2,8 @@
 
 A page is cut into blocks at block-level tags.  The first pass judges each block
 by its length, the share of its characters inside links and the share of stop
-words; short blocks stay undecided.  The second pass gives an undecided
+words; short blocks stay undecided, and so do longer ones with few stop words.  Scripts
+and pages without any known stop words are judged by length and links alone.  The second pass gives an undecided
 block the label of its nearest decided neighbours: good between two good ones, else
 bad, save for a heading before good text.  Blocks inside elements
 that are never the article (menus, headers of the page, footers, forms, adverts, notices,
@@ -48,7 +49,8 @@ WITH_WORDS = frozenset("has with no without".split())
 BAR_WORDS = frozenset("sidebar side aside rail".split())
 WRAP_WORDS = frozenset("wrap wrapper container grid row".split())
 
-# Frequent small words of English, German, French and Spanish.
+# Frequent small words of English, German, French and Spanish, then Italian, Portuguese, Dutch, Swedish, Danish, Norwegian,
+# Finnish, Polish, Czech, Hungarian, Romanian, Turkish, Indonesian, Vietnamese, Russian, Ukrainian, Bulgarian, Greek, Arabic, Persian, Hebrew, Hindi.
 STOP_WORDS = frozenset(
     "a about all an and are as at be been but by can for from had has have he her his i if in into is it its more no not of on"
     " one or our out she so that the their them there they this to up was we were what when which who will with would you your"
@@ -57,8 +59,51 @@ STOP_WORDS = frozenset(
     " au aux avec ce ces cette dans de des du elle en est et il ils je la le les leur lui mais ne nous ou par pas plus pour qui"
     " que sa se ses son sont sur un une vous"
     " al como con de del el en es esta este ha la las lo los más me mi muy no o para pero por que se ser si sin sobre su sus"
-    " también un una y ya".split()
+    " también un una y ya"
+    " ai al alla alle anche che chi ci col da dal dalla degli dei del della delle di e ed era gli ha hanno i il io la le lo ma nel nella non o per"
+    " perché più quando questa questo se si sono stato su sua sul sulla suo tra un una uno è"
+    " ao aos as até com como da das do dos ela ele em entre era essa esse eu foi há isso já mais mas na nas nos não num o os ou para pela pelo"
+    " por quando que quem se sem ser seu sua são também tem um uma à é"
+    " aan al als bij dan dat de der deze die dit door een en er had heb heeft het hij hoe ik in is je kan maar met mijn na naar niet nog of om"
+    " onder ook op over te tot uit van veel voor was wat we werd wordt zich zij zijn zo zou"
+    " alla att av blev de dem den denna det detta där efter ej eller en ett från för ha hade han har hon i inte jag kan man med men mot när och"
+    " om på sig sin ska som så till under upp ut var vi vid är"
+    " af at blev blir ble da dem den der deres det dette din eller en er et etter efter for fra få han har havde hadde hun hvis hvor i ikke jeg"
+    " kan man med men mit mot når nu og også om over på seg sig ser sin skal som så til ud ut var ved vi vil være å"
+    " ei ettei että hän ja jo joka jos kanssa kuin kun me minä mitä mutta mukaan myös niin nyt oli olla on ovat se sekä sen siitä tai tämä vain voi"
+    " aby albo ale bardzo bez by był była było być co czy dla do gdy go i ich jak jako jego jej jest jeszcze już ma może na nad nie niż o od oraz po"
+    " pod przez przy się są ta tak także tego tej ten to tych tym tylko w we więc wszystko z za ze że"
+    " aby ale ani až bude by byl byla bylo být co další do i jak jako je jeho jejich jen ještě již jsem jsou k kde kdy která které který má na nebo"
+    " než o od po pod pro při s se si tak také to tím u v ve však z za že"
+    " a az azt csak de egy el és ez ezt fel ha hogy is itt ki kell le lehet majd meg még mert mi mint minden már nagyon nem nincs olyan pedig s szerint"
+    " van vagy volt"
+    " a acest această al ale am ar au că care ce cel cu de din dintre este fi fost în și la lui mai nu o pe pentru prin sa sau se sunt un unei"
+    " unui"
+    " ama bir bu böyle çok da daha de değil diye en gibi hem her için ile ise kadar ki mi mu ne o olan olarak oldu olduğu sonra şey şu tüm var ve"
+    " veya ya yok"
+    " ada adalah akan atau bagi bahwa bisa dalam dan dapat dari dengan di ia ini itu juga karena ke lebih mereka oleh pada para saat saya sebagai"
+    " sudah tahun telah tidak untuk yang"
+    " bị các cho chúng có còn cũng của là làm lại một mà này những như nhiều không khi để đã đó được đến sẽ tại thì trong trên tôi từ và vào về"
+    " với vì ra người"
+    " а без бы был была были было быть в вам вас весь во вот все всё вы где да для до его ее её если есть еще ещё же за и из или им их к как"
+    " когда которые который ли мне может мы на не него нет но о об он она они от по под при с со так также то только том ты у уже что чтобы"
+    " это этот я"
+    " або але був була були в від він вона вони все для до є з за і із й його її їх як який які коли ми на не ні о по при про та так також те"
+    " тільки то у це цей ця чи що щоб я"
+    " а без бе беше в във все го да до е за и из или им като към ли ми на не ни но около от по през при с са се си след със съм те то това той"
+    " тя че ще"
+    " από αυτή αυτό για δεν ένα ένας έχει η ήταν θα και κατά με μετά μια μπορεί να ο οι όπως ότι που πως σας σε στα στη στην στις στο στον τα της"
+    " τη την τις το τον του τους των ως είναι"
+    " أن أو إلى إن التي الذي الى ان او بعد به بها بين تم ثم حتى ذلك عن على عند غير في قبل قد كان كانت كل كما لا لم له لها ما مع من منذ هذا هذه هو"
+    " هي و وقد ولا يا"
+    " آن از است این با باید بر برای بود به تا تواند چه خود در دارد را شد شده شود که کرد کرده کند می ما نیز هر هم های و یا یک"
+    " אבל או אחד אך אל אם אני את בין גם הוא היא היה הם זה זו יותר יש כי כל כמו לא לו מה מי מן על עד עם רק של"
+    " आप इस इसके उस उसके एक और कर करने कि किया की कुछ के को गया जा जो तक तो था थी थे नहीं पर ने बहुत भी में यह या ये लिए वह वे से हम ही है हैं हो".split()
 )
+# Scripts written without spaces between words or without small words here: Hangul, Han, Kana, Thai, Lao, Burmese, Khmer and others
+_NO_WORDS = re.compile(r"[\u0530-\u058F\u0980-\u109F\u10A0-\u11FF\u1200-\u139F\u1780-\u18AF\u2D00-\u2D2F\u2E80-\u9FFF\uA960-\uA97F\uAC00-\uD7FF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF]")
+# of these, a character counts as two
+_DENSE = re.compile(r"[\u1100-\u11FF\u2E80-\u9FFF\uAC00-\uD7FF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF]")
 
 LINK_SHARE = 0.2  # above it a block is bad
 ARTICLE_LINK_SHARE = 0.6  # inside the article element
@@ -77,7 +122,8 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++)))?+")
 # "hidden md:block": hidden on small screens only
 _SHOWN = re.compile(r"[a-z0-9-]+:(?:block|flex|grid|contents|flow-root|table|inline(?:-[a-z]+)?|visible|not-hidden)")
-_WORD = re.compile(r"[^\W\d_]+")
+# marks of the Devanagari vowels are no letters
+_WORD = re.compile(r"(?:[^\W\d_]|[\u0900-\u0903\u093A-\u094F\u0962\u0963])+")
 
 
 class Mark:
@@ -252,8 +298,21 @@ def blocks(html: str) -> list[tuple[str, Block]]:
     return [(t, b) for t, b in texts if t]
 
 
+def size(text: str) -> int:
+    """Length of a text, as it would be in an alphabet."""
+    return len(text) if text.isascii() else len(text) + len(_DENSE.findall(text))
+
+
+def stop_share(text: str) -> float | None:
+    """Share of the small words; none where the script has no known ones."""
+    if not text.isascii() and 2 * len(_NO_WORDS.findall(text)) > sum(map(str.isalpha, text)):
+        return None
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
 def first_pass(text: str, block: Block) -> str:
-    """good, bad, or one of the undecided: near (a longer one) and short."""
+    """good, bad, odd (of few small words), or one of the undecided: near (a longer one) and short."""
     if block.never:
         return "bad"
     share = block.linked / len(text)
@@ -261,13 +320,32 @@ def first_pass(text: str, block: Block) -> str:
         return "bad" if share > ARTICLE_LINK_SHARE else "good"
     if share > LINK_SHARE or text.startswith("©"):
         return "bad"
-    if len(text) < SHORT:
+    long = size(text)
+    if long < SHORT:
         return "short"
-    words = _WORD.findall(text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if stops >= STOP_HIGH:
-        return "good" if len(text) > LONG else "near"
-    return "near" if stops >= STOP_LOW else "bad"
+    stops = stop_share(text)
+    if stops is None or stops >= STOP_HIGH:
+        return "good" if long > LONG else "near"
+    return "near" if stops >= STOP_LOW else "odd"
+
+
+def settled(labels: list[str], found: list[tuple[str, Block]]) -> list[str]:
+    """Odd blocks are judged by the page.
+
+    Beside an article or main element they are bad.  Where no block has the small words of a known language,
+    these cannot tell: long blocks are good.  Else long ones (code, tables, lists, another language) go with the text
+    beside them, others with the text around them.
+    """
+    if any(label == "good" and b.article for label, (_, b) in zip(labels, found)):
+        return ["bad" if label == "odd" else label for label in labels]
+    known = any(label in ("good", "near") and stop_share(t) is not None for label, (t, _) in zip(labels, found))
+    made = []
+    for label, (text, _) in zip(labels, found):
+        if label == "odd":
+            long = size(text) > LONG
+            label = ("near" if long else "short") if known else ("good" if long else "near")
+        made.append(label)
+    return made
 
 
 def second_pass(labels: list[str], found: list[tuple[str, Block]]) -> list[bool]:
@@ -303,7 +381,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     found = blocks(html)
-    keep = second_pass([first_pass(t, b) for t, b in found], found)
+    keep = second_pass(settled([first_pass(t, b) for t, b in found], found), found)
     return "\n\n".join(t for (t, _), k in zip(found, keep) if k)
 
 
