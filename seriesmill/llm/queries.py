@@ -5,8 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from seriesmill.llm import codec, decontaminate, html_text, jaccard, licences, pii, token_counts, topk, toxicity, warc
+from pyspark.sql import functions as F
+
+from seriesmill.llm import (
+    codec,
+    decontaminate,
+    html_text,
+    jaccard,
+    licences,
+    mixing,
+    pii,
+    runs,
+    token_counts,
+    topk,
+    toxicity,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +169,46 @@ def op4(spark, sf_dir):
 @query("op2_toxicity")
 def op2(spark, sf_dir):
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op12_periodic_runs")
+def op12(spark, sf_dir):
+    found = runs.periodic_runs(runs.repeat_some(read(spark, sf_dir, "documents")))
+    best = runs.longest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    made = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.array_join(lines, "").alias("lines"), "collapsed")
+    return made.select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+_SIZES_SQL = r"SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents"
+
+OP13_SQL = rf"""
+WITH z AS ({_SIZES_SQL}),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS part FROM z GROUP BY source),
+w AS (SELECT *, (1 + part % 3)::DOUBLE AS weight, source_size / (1 + part % 3)::DOUBLE AS ratio, (sum(source_size) OVER ())::BIGINT AS words FROM s),
+r AS (SELECT *, sum(weight) OVER () AS total, coalesce(sum(source_size) OVER o, 0)::BIGINT AS size_before, coalesce(sum(weight) OVER o, 0) AS weight_before
+  FROM w WINDOW o AS (ORDER BY ratio, part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, 3 * size_before + 3 * ratio * (total - weight_before) < words AS is_full FROM r),
+l AS (SELECT (max(words) - 3 * coalesce(sum(source_size) FILTER (is_full), 0))::DOUBLE
+  / nullif(max(total) - coalesce(sum(weight) FILTER (is_full), 0), 0) AS level FROM f),
+t AS (SELECT source, source_size, least(CASE WHEN is_full THEN 3.0::DOUBLE * source_size ELSE weight * level END, 3.0::DOUBLE * source_size) AS target FROM f, l),
+q AS (SELECT *, floor(target + 0.5)::BIGINT AS quota FROM t),
+d AS (SELECT z.doc_id, z.size, q.*, coalesce(sum(z.size) OVER (PARTITION BY q.source ORDER BY md5(z.doc_id::VARCHAR), z.doc_id, z.size
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins FROM z JOIN q ON z.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, target, (CASE WHEN size = 0 THEN 0 ELSE
+  (quota // source_size) * size + greatest(0, least(size, quota % source_size - begins)) END)::BIGINT AS taken FROM d
+"""
+
+
+@query("op13_source_mix", OP13_SQL)
+def op13(spark, sf_dir):
+    return mixing.taken(read(spark, sf_dir, "documents"))
