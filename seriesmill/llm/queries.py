@@ -16,6 +16,7 @@ from seriesmill.llm import (
     mixing,
     pii,
     runs,
+    spelling,
     token_counts,
     topk,
     toxicity,
@@ -171,6 +172,11 @@ def op2(spark, sf_dir):
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query("op11_spelling_variants")
+def op11(spark, sf_dir):
+    return spelling.group_variants(spelling.words_of(read(spark, sf_dir, "documents"), drop=199))
+
+
 @query("op12_periodic_runs")
 def op12(spark, sf_dir):
     found = runs.periodic_runs(runs.repeat_some(read(spark, sf_dir, "documents")))
