@@ -25,8 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesmill.operators.ranks import bounded
-from seriesmill.operators.slices import attach
+from seriesmill.operators.slices import attach, bounded
 from seriesmill.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"

@@ -6,7 +6,7 @@ that has not seen the row, so later models learn how far earlier ones can be tru
 
 Features are the presence of words and of word beginnings, by their hash in a space of fixed width.  The models are logistic
 regressions on features scaled by how much more often they come with the category than without it (log of the
-ratio), rows weighted so that both kinds count alike, with an L2 penalty.  They are fitted by one task on a bounded
+ratio), rows weighted so that both kinds count alike, with an L2 penalty.  They are fitted, each by one task, on a bounded
 sample of labelled rows: the ``max_rows`` with the smallest hash of their id.  Every document is scored, whole.
 
 Edge cases: null and blank texts are not toxic.  Labels that are null or whose document is missing are left out; repeated
@@ -29,10 +29,11 @@ from seriesmill.llm.common import broadcast_checked
 from seriesmill.session import materialise
 
 CHAIN = ("low_quality", "toxic")
-MAX_ROWS = 20_000  # labelled rows that the models are fitted on
+MAX_ROWS = 10_000  # labelled rows that the models are fitted on
 FOLDS = 3
 WIDTH = 1 << 20  # of the space of features
 LEAST_DOCS = 5  # labelled texts that hold a feature
+LEAST_RATIO = 0.1  # log of how much more often a feature comes with the category, or without it
 BEGINNING = 4  # characters
 PENALTY = 1.0  # on the squared weights, against the sum over rows
 STEPS = 80
@@ -78,11 +79,7 @@ def _chances(models: Sequence[Linear | float], terms: np.ndarray, ends: np.ndarr
     """Probabilities (row, category) of rows whose features follow one another in ``terms``, up to ``ends``."""
     made = np.zeros((len(ends) - 1, len(models)))
     for i, model in enumerate(models):
-        if isinstance(model, float):
-            made[:, i] = model
-            continue
-        upto = np.concatenate(([0.0], np.cumsum(model.dense()[terms])))
-        made[:, i] = _chance(upto[ends[1:]] - upto[ends[:-1]] + made[:, : len(model.before)] @ model.before + model.bias)
+        made[:, i] = _alone(model, terms, ends, made[:, :i])
     return made
 
 
@@ -111,19 +108,30 @@ def fit_linear(terms: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.nd
     used, at, counts = np.unique(terms, return_inverse=True, return_counts=True)
     hits = np.bincount(at, y[row], len(used))
     ratio = np.log((hits + 1.0) / (positive + 2.0)) - np.log((counts - hits + 1.0) / (n - positive + 2.0))
-    ratio[counts < LEAST_DOCS] = 0.0
-    kept = ratio[at] != 0.0
-    row, at = row[kept], at[kept]
-    value = ratio[at]
+    ratio[(counts < LEAST_DOCS) | (np.abs(ratio) < LEAST_RATIO)] = 0.0
+    # features that tell nothing go; entries by row, and the same entries by feature, as stretches to be added up
+    some = np.flatnonzero(ratio)
+    place = np.full(len(used), -1)
+    place[some] = np.arange(len(some))
+    used, ratio, at = used[some], ratio[some], place[at]
+    row, at = row[at >= 0], at[at >= 0]
+    by_feature = np.argsort(at, kind="stable")
+    back_row = row[by_feature]
+    rows, row_starts = np.unique(row, return_index=True)
+    feature_starts = np.searchsorted(at[by_feature], np.arange(len(used)))
     weight = np.where(y == 1, n / (2 * positive), n / (2 * (n - positive))) / n
     x = np.zeros(len(used) + before.shape[1] + 1)  # features, categories before, bias
     f, width = len(used), len(x)
 
     def margin(w):
-        return np.bincount(row, value * w[at], n) + before @ w[f:-1] + w[-1]
+        made = before @ w[f:-1] + w[-1]
+        if f:
+            made[rows] += np.add.reduceat((ratio * w[:f])[at], row_starts)
+        return made
 
     def back(g):
-        return np.concatenate((np.bincount(at, value * g[row], f), before.T @ g, [g.sum()]))
+        sums = np.add.reduceat(g[back_row], feature_starts) * ratio if f else ratio
+        return np.concatenate((sums, before.T @ g, [g.sum()]))
 
     # largest curvature, by powers from a fixed start
     v = np.ones(width)
@@ -143,28 +151,23 @@ def fit_linear(terms: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.nd
     return Linear(used[some], weights[some], x[f:-1], float(x[-1]))
 
 
-def _slice(terms: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    inside = np.repeat(rows, np.diff(ends))
-    return terms[inside], np.concatenate(([0], np.cumsum(np.diff(ends)[rows])))
-
-
-def fit_models(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, fold: np.ndarray, penalty: float = PENALTY) -> list[Linear | float]:
-    """The chain's models on rows with ``labels`` (row, category); each category goes on to the next with out-of-fold probabilities."""
-    before, made = np.empty((len(labels), 0)), []
-    for i in range(labels.shape[1]):
-        made.append(fit_linear(terms, ends, before, labels[:, i], penalty))
-        if i + 1 < labels.shape[1]:
-            unseen = np.zeros(len(labels))
-            for k in range(FOLDS):
-                there = fold == k
-                model = fit_linear(*_slice(terms, ends, ~there), before[~there], labels[~there, i], penalty)
-                held, stops = _slice(terms, ends, there)
-                if isinstance(model, float):
-                    unseen[there] = model
-                else:
-                    upto = np.concatenate(([0.0], np.cumsum(model.dense()[held])))
-                    unseen[there] = _chance(upto[stops[1:]] - upto[stops[:-1]] + before[there] @ model.before + model.bias)
-            before = np.column_stack((before, unseen))
+def _alone(model: Linear | float, terms: np.ndarray, ends: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Probabilities by one model."""
+    if isinstance(model, float):
+        return np.full(len(ends) - 1, model)
+    upto = np.concatenate(([0.0], np.cumsum(model.dense()[terms])))
+    return _chance(upto[ends[1:]] - upto[ends[:-1]] + before @ model.before + model.bias)
+
+
+def out_of_fold(terms: np.ndarray, ends: np.ndarray, fold: np.ndarray, unseen: Sequence[Sequence[Linear | float]]) -> np.ndarray:
+    """Probabilities (row, category) of the categories so far, each by the model that has not seen the row's fold."""
+    made = np.zeros((len(fold), len(unseen)))
+    for i, models in enumerate(unseen):
+        for k, model in enumerate(models):
+            there = fold == k
+            inside = np.repeat(there, np.diff(ends))
+            stops = np.concatenate(([0], np.cumsum(np.diff(ends)[there])))
+            made[there, i] = _alone(model, terms[inside], stops, made[there, :i])
     return made
 
 
@@ -181,37 +184,48 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     return joined.select("_id", hashed(F.col("text")).alias("terms"), fold.alias("fold"), "low_quality", "toxic")
 
 
-_MODELS = "place int, features array<int>, weights array<double>, before array<double>, bias double, share double"
+_MODELS = "part int, features array<int>, weights array<double>, before array<double>, bias double, share double"
+_KINDS = (pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.float64())
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, chain: Sequence[str] = CHAIN, max_rows: int = MAX_ROWS, penalty: float = PENALTY) -> Chain:
-    """Fit the models of ``chain`` in one task on the bounded sample."""
+    """Fit the models of ``chain`` on the bounded sample.
+
+    A category's model on all rows, and those that leave out a fold each, are fitted by a task of their own.
+    """
+    rows = materialise(training_rows(docs, labels, max_rows), "training")
+    models: dict[str, Linear | float] = {}
+    unseen: list[list[Linear | float]] = []
+    for category in chain:
+        last = category == chain[-1]
+        parts = F.explode(F.array(*[F.lit(k) for k in ([FOLDS] if last else range(FOLDS + 1))]))
+        spread = rows.withColumn("part", parts).where("part <> fold")
+        found = {r["part"]: _model(r) for r in spread.groupBy("part").applyInArrow(_fitter(category, list(unseen), penalty), _MODELS).toArrow().to_pylist()}
+        models[category] = found.get(FOLDS, 0.0)
+        unseen.append([found.get(k, models[category]) for k in range(FOLDS)])
+    return Chain(models)
+
 
+def _fitter(category: str, unseen: list, penalty: float):
     def fit(rows: pa.Table) -> pa.Table:
         # in one order, so that sums do not depend on the order of arrival
-        rows = rows.sort_by([(c, "ascending") for c in ("_id", *chain)]).combine_chunks()
+        rows = rows.sort_by([("_id", "ascending"), (category, "ascending")]).combine_chunks()
         terms = rows.column("terms").combine_chunks()
         held, ends = np.asarray(terms.flatten()), np.asarray(terms.offsets)
-        y = np.stack([np.asarray(rows.column(c), dtype=np.float64) for c in chain], axis=1)
-        made = []
-        for i, model in enumerate(fit_models(held, ends - ends[0], y, np.asarray(rows.column("fold")), penalty)):
-            if isinstance(model, float):
-                made.append({"place": i, "share": model})
-            else:
-                made.append({"place": i, "features": model.features, "weights": model.weights, "before": model.before, "bias": model.bias})
-        kinds = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64(), pa.float64()]
-        names = ["place", "features", "weights", "before", "bias", "share"]
-        return pa.table({n: pa.array([m.get(n) for m in made], k) for n, k in zip(names, kinds)})
-
-    rows = training_rows(docs, labels, max_rows)
-    found = rows.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(fit, _MODELS).toArrow().to_pylist()
-    models: dict[str, Linear | float] = {c: 0.0 for c in chain}
-    for r in found:
-        if r["share"] is not None:
-            models[chain[r["place"]]] = r["share"]
-        else:
-            models[chain[r["place"]]] = Linear(np.array(r["features"], dtype=np.int64), np.array(r["weights"]), np.array(r["before"]), r["bias"])
-    return Chain(models)
+        ends = ends - ends[0]
+        before = out_of_fold(held, ends, np.asarray(rows.column("fold")), unseen)
+        model = fit_linear(held, ends, before, np.asarray(rows.column(category), dtype=np.float64), penalty)
+        made = (None, None, None, None, model) if isinstance(model, float) else (model.features, model.weights, model.before, model.bias, None)
+        names = [part.split()[0] for part in _MODELS.split(", ")]
+        return pa.table({n: pa.array([v], k) for n, v, k in zip(names, (rows.column("part")[0].as_py(), *made), _KINDS)})
+
+    return fit
+
+
+def _model(row: dict) -> Linear | float:
+    if row["share"] is not None:
+        return row["share"]
+    return Linear(np.array(row["features"], dtype=np.int64), np.array(row["weights"]), np.array(row["before"], dtype=np.float64), row["bias"])
 
 
 def _decided(fitted: Chain, threshold: float) -> Column:
