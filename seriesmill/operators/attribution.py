@@ -1,13 +1,21 @@
-"""Additive per-row attributions of a tree ensemble, and their summaries.
+"""Shapley values of tree ensembles, per row and class, and their summaries.
 
-Walking a row down a tree, each step changes the node's value; the change is
-credited to the feature that was split on.  The root value plus all credits is
-the output of the model.  These are path attributions, not Shapley values.
+A tree's output for a known subset of features is the mean of its leaves over the rows that training saw, as far as
+unknown features are concerned: at a split on an unknown feature both branches count by their cover.  A feature's Shapley
+value is its mean contribution over all orders in which features become known.
+
+A leaf counts for a subset with the product, over the features on its path, of 1 or 0 (known: does the row
+stay on the path?) or the covered share (unknown).  Grouped by the size of the subset these products are the
+coefficients of a polynomial, one factor per feature of the path, so no subset is enumerated: a leaf with m features costs m^2 steps, once for every
+pattern of features that stay on the path, whatever the number of rows.  The root value (the mean
+output over the training rows) plus a row's values is the model's output for it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -18,104 +26,164 @@ from pyspark.sql import functions as F
 from seriesmill.functions.columns import display_name, sensor_of, share
 from seriesmill.operators.model import EventModel, assemble
 from seriesmill.operators.profile import with_label_text
-from seriesmill.operators.ranks import bounded
+from seriesmill.operators.slices import bounded
 from seriesmill.session import scratch_path
 from seriesmill.spec import OTHER_SENSOR
 
-_BATCH = 2_000
-# Most bytes of trees that are sent to the executors.
-BROADCAST_BYTES = 512 << 20
+_BATCH = 8_192
+# Most bytes of trees in one broadcast; more trees go in several, and their values are added up.
+BROADCAST_BYTES = 256 << 20
 
 
-def _arrays(rows: pd.DataFrame, kind: str, part: int, weight: float, classes: int) -> dict:
-    """One tree as compact arrays; values have one column per class of the part."""
+def _node_arrays(rows: pd.DataFrame, classes: int, weight: float) -> dict:
+    """One tree of a forest: leaves hold the shares of the classes among their weighted rows."""
     rows = rows.sort_values("id")
-    if kind == "forest":
-        counts = np.stack(rows["impurityStats"].to_numpy())
-        values = np.zeros((len(rows), classes), dtype=np.float32)
-        values[:, : counts.shape[1]] = counts / counts.sum(axis=1, keepdims=True)
-    else:
-        values = rows["prediction"].to_numpy(dtype=np.float32)[:, None]
+    stats = np.stack(rows["impurityStats"].to_numpy())
+    values = np.zeros((len(rows), classes))
+    values[:, : stats.shape[1]] = weight * stats / stats.sum(axis=1, keepdims=True)
     split = rows["split"].to_list()
     cut = [s["leftCategoriesOrThreshold"] for s in split]
     return {
-        "part": part,
-        "weight": weight,
+        "classes": slice(0, classes),
         "left": rows["leftChild"].to_numpy(dtype=np.int32),
         "right": rows["rightChild"].to_numpy(dtype=np.int32),
         "feature": np.array([s["featureIndex"] for s in split], dtype=np.int32),
         "threshold": np.array([c[0] if len(c) else 0.0 for c in cut]),
         "value": values,
+        "cover": stats.sum(axis=1),
     }
 
 
 def _trees(spark: SparkSession, model: EventModel) -> list[dict]:
-    """Every tree as compact arrays.
-
-    Spark ML holds the whole model on the driver as well, at several times this size. Trees are turned
-    into arrays one part of the model at a time; more than BROADCAST_BYTES of them is an error.
-    """
-    k, trees, held = len(model.labels), [], 0
-    for c, part in model.parts.items():
-        path = scratch_path(spark, "model")
-        part.write().save(path)
-        weights = [1.0 / part.getNumTrees] * part.getNumTrees if model.kind == "forest" else list(part.treeWeights)
-        nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
-        for tree, weight in enumerate(weights):
-            made = _arrays(nodes.where(F.col("treeID") == tree).toPandas(), model.kind, c, weight, k)
-            held += sum(x.nbytes for x in made.values() if isinstance(x, np.ndarray))
-            if held > BROADCAST_BYTES:
-                raise ValueError(f"the trees take more than {BROADCAST_BYTES} bytes; explain a model with fewer or lower trees")
-            trees.append(made)
-    return trees
-
-
-def _walk(x: np.ndarray, trees: list[dict], classes: int) -> np.ndarray:
-    """Credits of shape rows x classes x (features + 1); the last entry is the root value."""
+    """Every tree as arrays."""
+    if model.kind == "boosted":
+        return [
+            {
+                "classes": slice(k, k + 1),
+                "value": tree.value[:, None],
+                **{n: getattr(tree, n) for n in ("left", "right", "feature", "threshold", "cover")},
+            }
+            for trees in model.fitted.trees
+            for k, tree in enumerate(trees)
+        ]
+    path = scratch_path(spark, "model")
+    model.fitted.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    count = model.fitted.getNumTrees
+    return [_node_arrays(nodes.where(F.col("treeID") == t).toPandas(), len(model.labels), 1.0 / count) for t in range(count)]
+
+
+def _leaves(tree: dict) -> list[tuple]:
+    """Per leaf: its node, the features on its path, the interval (low, high] each must lie in, and the share each covers."""
+    found, todo = [], [(0, {})]
+    while todo:
+        node, path = todo.pop()
+        if tree["left"][node] < 0:
+            names = np.array(list(path), dtype=np.int64)
+            low, high, part = (np.array([path[f][i] for f in path]) for i in range(3))
+            found.append((node, names, low, high, part))
+            continue
+        f, cut = int(tree["feature"][node]), tree["threshold"][node]
+        low, high, part = path.get(f, (-np.inf, np.inf, 1.0))
+        for child, edges in ((tree["left"][node], (low, min(high, cut))), (tree["right"][node], (max(low, cut), high))):
+            todo.append((child, {**path, f: (*edges, part * tree["cover"][child] / tree["cover"][node])}))
+    return found
+
+
+def _path_weights(stays: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Shapley values of a leaf of value 1, for every pattern (row) of features that stay on its path."""
+    n, m = stays.shape
+    whole = np.zeros((n, m + 1))
+    whole[:, 0] = 1.0
+    for j in range(m):
+        shifted = np.zeros_like(whole)
+        shifted[:, 1:] = whole[:, :-1] * stays[:, j : j + 1]
+        whole = whole * part[j] + shifted
+    sizes = np.array([factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)])
+    # a feature off the path: its own factor is its share, which its contribution has too
+    off = -(whole[:, :m] @ sizes)
+    made = np.empty((n, m))
+    for i in range(m):
+        # the other features' polynomial, dividing by (share + x) from the top
+        rest, carry = np.zeros((n, m)), np.zeros(n)
+        for k in range(m, 0, -1):
+            carry = whole[:, k] - part[i] * carry
+            rest[:, k - 1] = carry
+        made[:, i] = np.where(stays[:, i], (1.0 - part[i]) * (rest @ sizes), off)
+    return made
+
+
+def shapley(x: np.ndarray, trees: list[dict], classes: int) -> np.ndarray:
+    """Values of shape rows x classes x (features + 1); the last entry is the root value."""
     n, f = x.shape
-    credit = np.zeros((n, f + 1, classes))
-    for t in trees:
-        value = t["value"].astype(np.float64) * t["weight"]
-        where = slice(None) if value.shape[1] == classes else slice(t["part"], t["part"] + 1)
-        at = np.zeros(n, dtype=np.int64)
-        credit[:, f, where] += value[0]
-        active = np.flatnonzero(t["left"][at] >= 0)
-        while active.size:
-            node = at[active]
-            column = t["feature"][node]
-            goes_left = x[active, column] <= t["threshold"][node]
-            child = np.where(goes_left, t["left"][node], t["right"][node])
-            credit[active, column, where] += value[child] - value[node]
-            at[active] = child
-            active = active[t["left"][child] >= 0]
-    return credit.transpose(0, 2, 1)
+    made = np.zeros((f + 1, n, classes))
+    for tree in trees:
+        for node, names, low, high, part in _leaves(tree):
+            value = tree["value"][node]
+            made[f, :, tree["classes"]] += value * part.prod()
+            if not len(names):
+                continue
+            stays = (x[:, names] > low) & (x[:, names] <= high)
+            if len(names) <= 62:
+                code = stays @ (np.int64(1) << np.arange(len(names), dtype=np.int64))
+                _, first, back = np.unique(code, return_index=True, return_inverse=True)
+                weights = _path_weights(stays[first], part)[back]
+            else:
+                weights = _path_weights(stays, part)
+            for j, name in enumerate(names):
+                made[name, :, tree["classes"]] += weights[:, j : j + 1] * value
+    return made.transpose(1, 2, 0)
+
+
+def _grouped(trees: list[dict]) -> list[list[dict]]:
+    """The trees in groups that are small enough to be sent to every executor."""
+    groups, held = [[]], 0
+    for tree in trees:
+        size = sum(x.nbytes for x in tree.values() if isinstance(x, np.ndarray))
+        if groups[-1] and held + size > BROADCAST_BYTES:
+            groups.append([])
+            held = 0
+        groups[-1].append(tree)
+        held += size
+    return groups
 
 
 def attribute(df: DataFrame, model: EventModel, keep: Sequence[str]) -> DataFrame:
     """Long table: ``keep``, ``class``, ``feature``, ``value``, and ``root_value``, the same for all features of a class.
 
-    A class's root value and the values of all its features add up to the model's output for it.
+    A class's root value and the values of all its features add up to the model's output for it: the probability of a
+    forest, the margin of a boosted model.
     """
     spark = df.sparkSession
-    trees = spark.sparkContext.broadcast(_trees(spark, model))
     classes, features = len(model.labels), len(model.features)
 
-    @F.pandas_udf("array<array<double>>")
-    def credits(vectors: pd.Series) -> pd.Series:
-        out = []
-        for start in range(0, len(vectors), _BATCH):
-            x = np.stack(vectors.iloc[start : start + _BATCH].to_numpy())
-            out.extend([list(one) for one in _walk(x, trees.value, classes)])
-        return pd.Series(out)
+    def part(trees: list[dict]):
+        sent = spark.sparkContext.broadcast(trees)
+
+        @F.pandas_udf("array<double>")
+        def values(vectors: pd.Series) -> pd.Series:
+            out = []
+            for start in range(0, len(vectors), _BATCH):
+                x = np.stack(vectors.iloc[start : start + _BATCH].to_numpy())
+                out.extend(shapley(x, sent.value, classes).reshape(len(x), -1))
+            return pd.Series(out, dtype=object)
 
+        return values(vector_to_array("features"))
+
+    parts = [part(group) for group in _grouped(_trees(spark, model))]
+    flat = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), parts)
     names = F.array(*[F.lit(n) for n in model.features])
     labels = F.array(*[F.lit(x) for x in model.labels])
-    made = assemble(df, model.features).select(*keep, credits(vector_to_array("features")).alias("_c"))
-    by_class = made.select(*keep, F.posexplode("_c").alias("_k", "_c"))
+    start = F.array(*[F.lit(float(v)) for v in (model.fitted.start if model.kind == "boosted" else np.zeros(classes))])
+    made = assemble(df, model.features).select(*keep, flat.alias("_c"))
+    by_class = made.select(
+        *keep,
+        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda k: F.slice("_c", k * (features + 1) + 1, features + 1))).alias("_k", "_c"),
+    )
     return by_class.select(
         *keep,
         labels[F.col("_k")].alias("class"),
-        F.element_at("_c", features + 1).alias("root_value"),
+        (F.element_at("_c", features + 1) + start[F.col("_k")]).alias("root_value"),
         F.posexplode(F.slice("_c", 1, features)).alias("_i", "value"),
     ).select(*keep, "class", names[F.col("_i")].alias("feature"), "value", "root_value")
 

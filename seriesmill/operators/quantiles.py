@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesmill.operators.selection import FEW_ROWS, IMAGE_DIGITS, image, image_digit, rows_at
 from seriesmill.operators.slices import attach
-from seriesmill.operators.ranks import bounded
-
-# Up to this many rows in a group, the built-in aggregate keeps them in memory.
-IN_MEMORY_ROWS = 1_000_000
+from seriesmill.session import materialise
 
 
 def long_form(df: DataFrame, keep: Sequence[str], sensors: Sequence[str]) -> DataFrame:
@@ -19,88 +17,26 @@ def long_form(df: DataFrame, keep: Sequence[str], sensors: Sequence[str]) -> Dat
     return df.select(*keep, *sensors).unpivot(list(keep), list(sensors), "sensor", "value")
 
 
-def exact_quantiles(
-    df: DataFrame,
-    groups: Sequence[str],
-    probs: dict[str, float],
-    value: str = "value",
-    in_memory_rows: int = IN_MEMORY_ROWS,
-    accuracy: int = 100_000,
-) -> DataFrame:
-    """Percentiles of ``value`` per group, one column per entry of ``probs``.
+def exact_quantiles(df: DataFrame, groups: Sequence[str], probs: dict[str, float], value: str = "value", few: int = FEW_ROWS) -> DataFrame:
+    """Percentiles of ``value`` per group, one column per entry of ``probs``, linear between the two ranks next to them."""
+    points = quantile_points(df, groups, list(probs.values()), value, few)
+    return points.select(*groups, *[F.col("points")[i].alias(n) for i, n in enumerate(probs)])
 
-    Small groups use the built-in exact aggregate.  Above ``in_memory_rows`` a
-    sketch first brackets every wanted rank; one pass then counts the values
-    below each bracket and the distinct values inside it, which hold the exact
-    order statistics.
-    """
-    present = df.where(F.col(value).isNotNull())
-    by = list(groups) or ["_all"]
-    if not groups:
-        present = present.withColumn("_all", F.lit(0))
-    largest = present.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if largest <= in_memory_rows:
-        points = present.groupBy(*by).agg(F.percentile(value, list(probs.values())).alias("_points"))
-        result = points.select(*by, *[F.col("_points")[i].alias(n) for i, n in enumerate(probs)])
-    else:
-        result = _by_bracket(present, by, probs, value, accuracy)
-    return result if groups else result.drop("_all")
 
+def quantile_points(df: DataFrame, groups: Sequence[str], probs: Sequence[float], value: str = "value", few: int = FEW_ROWS) -> DataFrame:
+    """Per group the percentiles ``points`` in the order of ``probs``.
 
-def _by_bracket(df: DataFrame, by: list[str], probs: dict[str, float], value: str, accuracy: int) -> DataFrame:
-    slack = 4.0 / accuracy
-    ends = [e for p in probs.values() for e in (max(0.0, p - slack), min(1.0, p + slack))]
-    sketch = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(value).alias("_min"),
-        F.max(value).alias("_max"),
-        F.percentile_approx(value, ends, accuracy).alias("_e"),
-    )
-    brackets = bounded(
-        sketch.select(
-            *by,
-            "_n",
-            *[
-                (F.col("_min") if e == 0.0 else F.col("_max") if e == 1.0 else F.col("_e")[j]).alias(
-                    f"_{'high' if j % 2 else 'low'}_{j // 2}"
-                )
-                for j, e in enumerate(ends)
-            ],
-        )
-    )
-    joined = attach(df, brackets, by)
-    v = F.col(value)
-    below = joined.groupBy(*by).agg(
-        F.first("_n").alias("_n"),
-        *[F.count_if(v < F.col(f"_low_{i}")).alias(f"_below_{i}") for i in range(len(probs))],
-    )
-    inside = (
-        joined.withColumn(
-            "_q",
-            F.explode(
-                F.filter(
-                    F.array(
-                        *[F.when(v.between(F.col(f"_low_{i}"), F.col(f"_high_{i}")), F.lit(i)) for i in range(len(probs))]
-                    ),
-                    lambda q: q.isNotNull(),
-                )
-            ),
-        )
-        .groupBy(*by, "_q", v.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_m"))
-    )
-    upto = Window.partitionBy(*by, "_q").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = attach(inside.withColumn("_upto", F.sum("_m").over(upto)), bounded(below), by)
-    outputs = []
-    for i, (name, p) in enumerate(probs.items()):
-        rank = F.lit(p) * (F.col("_n") - 1)
-        end = F.col("_upto") + F.col(f"_below_{i}")
-        at = {}
-        for part, index in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            holds = (F.col("_q") == i) & (end > index) & (end - F.col("_m") <= index)
-            at[part] = F.max(F.when(holds, F.col("_v")))
-        part = F.first(rank - F.floor(rank))
-        outputs.append((at["lo"] + (at["hi"] - at["lo"]) * part).alias(name))
-    missed = F.raise_error(F.lit("a bracket of the sketch does not hold its rank; raise accuracy"))
-    found = ranked.groupBy(*by).agg(*outputs)
-    return found.select(*by, *[F.coalesce(F.col(name), missed).alias(name) for name in probs])
+    The values at the ranks are found digit by digit; a group with at most ``few`` rows is counted by value at once.  Nulls do not count.
+    """
+    by = list(groups) or ["_all"]
+    present = df.where(F.col(value).isNotNull()).select(*(groups or [F.lit(0).alias("_all")]), F.col(value).cast("double").alias("_v"))
+    totals = materialise(present.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), "totals")
+    parts = F.array(*[F.lit(float(p)) for p in probs])
+    places = F.transform(parts, lambda p: p * (F.col("_n") - 1))
+    ranks = F.array_distinct(F.flatten(F.transform(places, lambda x: F.array(F.floor(x), F.ceil(x)))))
+    wanted = totals.select(*by, F.explode(ranks).alias("_rank"), F.col("_n").alias("_rows")).withColumn("_rest", F.col("_rank"))
+    found = rows_at(present.withColumn("_image", image(F.col("_v"))), by, wanted, "_v", image_digit("_image"), IMAGE_DIGITS, few)
+    held = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_key"))).alias("_values"))
+    at = lambda rank: F.element_at("_values", rank)
+    point = lambda x: at(F.floor(x)) + (at(F.ceil(x)) - at(F.floor(x))) * (x - F.floor(x))
+    return attach(held, totals, by).select(*groups, F.transform(places, point).alias("points"))

@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmill.functions.columns import before, from_sortable, hash_key, sortable
-from seriesmill.operators.slices import attach, hinted
+from seriesmill.functions.columns import before, from_sortable, sortable
 from seriesmill.session import SMALL_ROWS, materialise
 
 _DAY_MICROS = 86_400_000_000
@@ -127,87 +126,3 @@ def label_by_cuts(
     for cut, label in reversed(list(zip(cuts, labels))):
         result = F.when(rows_before(df, names, cut), F.lit(label)).otherwise(result)
     return result
-
-
-def hash_cuts(df: DataFrame, groups: Sequence[str], wants: Sequence[Column]) -> DataFrame:
-    """Per group, the digest ``_h`` at which ``wants[i]`` rows of the group are reached.
-
-    ``wants`` are expressions over ``n``, the rows of the group.  Columns: groups,
-    and per want ``_cut_i``, ``_spare_i`` (rows to take at the cut) and ``_tied_i``
-    (rows that share the digest), null where nothing is wanted.  Counting goes by
-    the first four hex digits and then inside the prefixes that hold a cut.
-    """
-    prefix = F.substring("_h", 1, 4)
-    by_prefix = materialise(
-        df.groupBy(*groups, prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_m")), "digests"
-    )
-    group = Window.partitionBy(*groups)
-    upto = group.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
-    totals = by_prefix.select(
-        "*", F.sum("_m").over(group).alias("n"), F.sum("_m").over(upto).alias("_upto")
-    )
-    numbered = F.array(
-        *[F.struct(F.lit(i).alias("_i"), want.cast("bigint").alias("_want")) for i, want in enumerate(wants)]
-    )
-    edges = (
-        totals.select("*", F.inline(numbered))
-        .withColumn("_rest", F.least("_want", "n") - F.col("_upto") + F.col("_m"))
-        .where("_rest > 0 AND _rest <= _m")
-        .select(*groups, "_p", "_i", "_rest")
-    )
-    # one more pass, over the few prefixes that hold a cut
-    at_edge = attach(df.withColumn("_p", prefix), bounded(edges), [*groups, "_p"])
-    ties = at_edge.groupBy(*groups, "_i", "_rest", "_h").agg(F.count(F.lit(1)).alias("_m"))
-    inner = Window.partitionBy(*groups, "_i").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
-    cuts = ties.withColumn("_spare", F.col("_rest") - F.sum("_m").over(inner) + F.col("_m")).where(
-        "_spare > 0 AND _spare <= _m"
-    )
-    return cuts.groupBy(*groups).agg(
-        *[
-            F.max(F.when(F.col("_i") == i, F.col(source))).alias(f"{name}_{i}")
-            for i in range(len(wants))
-            for source, name in (("_h", "_cut"), ("_spare", "_spare"), ("_m", "_tied"))
-        ]
-    )
-
-
-def bounded(df: DataFrame, cap: int = SMALL_ROWS) -> DataFrame:
-    """A frame whose size was checked, marked for broadcast; unchanged above ``cap`` rows."""
-    rows = df.limit(cap + 1).collect()
-    if len(rows) > cap:
-        return df
-    return hinted(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def take_hashed(
-    df: DataFrame, groups: Sequence[str], key: Sequence[str], seed: int, want: Column
-) -> DataFrame:
-    """The first ``want`` rows of every group in digest order of ``key``.
-
-    No group is gathered anywhere: two counting passes find the digest at the cut,
-    a filter takes the rows.  Where several rows share the digest at the cut, only
-    as many of them as are wanted are kept.
-    """
-    names = df.columns
-    by = list(groups) or ["_all"]
-    tagged = df.withColumn("_h", hash_key(key, seed))
-    if not groups:
-        tagged = tagged.withColumn("_all", F.lit(0))
-    cuts = bounded(hash_cuts(tagged.select(*by, "_h"), by, [want]))
-    joined = attach(tagged, cuts, by)
-    whole = joined.where(
-        (F.col("_h") < F.col("_cut_0"))
-        | ((F.col("_h") == F.col("_cut_0")) & (F.col("_spare_0") == F.col("_tied_0")))
-    ).select(*names)
-    if cuts.where("_spare_0 < _tied_0").isEmpty():
-        return whole
-    tied = joined.where((F.col("_h") == F.col("_cut_0")) & (F.col("_spare_0") < F.col("_tied_0")))
-    merged = tied.groupBy(*dict.fromkeys([*by, *names]), "_spare_0").agg(F.count(F.lit(1)).alias("_copies"))
-    upto = Window.partitionBy(*by).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
-    picked = (
-        merged.withColumn("_upto", F.sum("_copies").over(upto))
-        .withColumn("_take", F.least("_copies", F.col("_spare_0") - F.col("_upto") + F.col("_copies")))
-        .where("_take > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_take").cast("int"))))
-    )
-    return whole.unionByName(picked.select(*names))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesmill.operators.ranks import take_hashed
+from seriesmill.operators.selection import take_hashed
 from seriesmill.operators.slices import number_rows
 from seriesmill.spec import SeriesSpec, ordered
 

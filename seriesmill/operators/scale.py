@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmill.operators.quantiles import IN_MEMORY_ROWS, exact_quantiles, long_form
+from seriesmill.operators.quantiles import exact_quantiles, long_form
 
 STATS_SCHEMA = T.StructType(
     [
@@ -85,13 +85,12 @@ def minmax(df: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFram
     )
 
 
-def robust(df: DataFrame, names: Sequence[str], keep: Sequence[str], in_memory_rows: int = IN_MEMORY_ROWS) -> DataFrame:
+def robust(df: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Distance from the median in interquartile ranges."""
     rows = exact_quantiles(
         long_form(df, [], names),
         ["sensor"],
         {"q1": 0.25, "q2": 0.5, "q3": 0.75},
-        in_memory_rows=in_memory_rows,
     ).collect()
     q = {r["sensor"]: r for r in rows}
     return df.select(

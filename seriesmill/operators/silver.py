@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import within
-from seriesmill.operators.quantiles import IN_MEMORY_ROWS, exact_quantiles, long_form
-from seriesmill.operators.ranks import bounded
-from seriesmill.operators.slices import attach, fill
+from seriesmill.operators.quantiles import exact_quantiles, long_form
+from seriesmill.operators.slices import attach, bounded, fill
 from seriesmill.session import materialise
 from seriesmill.spec import SeriesSpec, ordered
 
@@ -43,14 +42,14 @@ def drop_all_null(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return df.na.drop(how="all", subset=list(spec.sensors))
 
 
-def median_fallback(df: DataFrame, spec: SeriesSpec, in_memory_rows: int = IN_MEMORY_ROWS) -> DataFrame:
+def median_fallback(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Fill what is still missing with the class median, then the median of the result."""
     missing = df.agg(*[F.count_if(F.col(s).isNull()).alias(s) for s in spec.sensors]).first()
     gaps = [s for s in spec.sensors if missing[s]]
     if not gaps:
         return df
     by_class = exact_quantiles(
-        long_form(df, [spec.label], gaps), [spec.label, "sensor"], {"median": 0.5}, in_memory_rows=in_memory_rows
+        long_form(df, [spec.label], gaps), [spec.label, "sensor"], {"median": 0.5}
     )
     wide = by_class.groupBy(spec.label).pivot("sensor", gaps).agg(F.first("median"))
     wide = bounded(wide.withColumnsRenamed({s: f"_median_{s}" for s in gaps}))
@@ -59,7 +58,7 @@ def median_fallback(df: DataFrame, spec: SeriesSpec, in_memory_rows: int = IN_ME
     )
     filled = filled.select(*df.columns)
     overall = exact_quantiles(
-        long_form(filled, [], gaps), ["sensor"], {"median": 0.5}, in_memory_rows=in_memory_rows
+        long_form(filled, [], gaps), ["sensor"], {"median": 0.5}
     ).collect()
     medians = {r["sensor"]: r["median"] for r in overall if r["median"] is not None}
     return filled.na.fill(medians) if medians else filled

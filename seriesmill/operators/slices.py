@@ -3,7 +3,7 @@
 A plain window puts all rows of a key into one task.  Keys above
 ``max_rows_per_task`` are therefore cut: their rows are range-partitioned by
 (key, order), written to the shared folder with their position, and every
-partition becomes a *slice* of at most about that many rows.  A look-back window
+partition falls into *slices* of at most that many rows.  A look-back window
 needs only the last rows of the slices before it (copied in, and dropped after),
 a fill only the last value before it, a row number only the rows counted before
 it; so results equal those of the plain window.  All other keys use the plain
@@ -19,11 +19,11 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from seriesmill.session import materialise
+from seriesmill.session import SMALL_ROWS, materialise
 
-# Most hot keys, and most slices, of one run: both tables are broadcast.
-SLICE_CAP = 100_000
-_SLICE_BITS = 33  # monotonically_increasing_id keeps the partition above these
+# Most range partitions of one shuffle; more slices than these share partitions.
+MOST_PARTITIONS = 50_000
+_ROW_BITS = 33  # monotonically_increasing_id counts the rows of a partition in these
 
 
 @dataclass
@@ -55,38 +55,38 @@ def hinted(df: DataFrame) -> DataFrame:
     return df
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> list:
-    """Keys with more than ``max_rows`` rows and their counts, at most ``SLICE_CAP``.
-
-    Only total rows / max_rows keys can be hot; the limit is raised until they fit.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    while True:
-        rows = counts.where(F.col("_n") > max_rows).limit(SLICE_CAP + 1).collect()
-        if len(rows) <= SLICE_CAP:
-            return rows
-        max_rows *= 10
+def bounded(df: DataFrame, cap: int = SMALL_ROWS) -> DataFrame:
+    """A frame whose size was checked, marked for broadcast; unchanged above ``cap`` rows."""
+    rows = df.limit(cap + 1).collect()
+    if len(rows) > cap:
+        return df
+    return hinted(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def carve(df: DataFrame, keys: Sequence[str], order: Sequence[Column], max_rows: int) -> Carved:
-    spark = df.sparkSession
-    found = hot_keys(df, keys, max_rows)
-    if not found:
+    """Part the hot keys from the others, and cut them.
+
+    Hot keys and slices are written tables, joined by broadcast only where they prove small.  A range partition with more
+    than ``max_rows`` rows holds several slices, so slices stay small however few the partitions are.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
+    found = materialise(counts, "hot-keys")
+    total = found.agg(F.sum("_n")).first()[0]
+    if not total:
         return Carved(df)
-    named = spark.createDataFrame([tuple(r[k] for k in keys) for r in found], df.select(*keys).schema)
-    named = hinted(named)
-    total = sum(r["_n"] for r in found)
+    named = bounded(found.select(*keys))
     cold, rows = attach(df, named, keys, "left_anti"), attach(df, named, keys, "left_semi")
-    n_slices = max(1, ceil(total / max(max_rows, total // SLICE_CAP, 1)))
+    parts = min(ceil(total / max_rows), MOST_PARTITIONS)
     by = [*[F.col(k).asc_nulls_last() for k in keys], *order, F.col("_source").asc()]
     placed = (
         # the source partition parts rows that are equal in every ordering column
         rows.withColumn("_source", F.spark_partition_id())
-        .repartitionByRange(n_slices, *by)
+        .repartitionByRange(parts, *by)
         .sortWithinPartitions(*by)
         .drop("_source")
         .withColumn("_pos", F.monotonically_increasing_id())
-        .withColumn("_slice", F.shiftright("_pos", _SLICE_BITS))
+        # the position of the slice's first row
+        .withColumn("_slice", F.col("_pos") - F.col("_pos").bitwiseAND((1 << _ROW_BITS) - 1) % max_rows)
     )
     hot = materialise(placed, "slices")
     across = Window.partitionBy(*keys).orderBy("_slice")
@@ -97,7 +97,7 @@ def carve(df: DataFrame, keys: Sequence[str], order: Sequence[Column], max_rows:
         .withColumn("_start", F.coalesce("_start", F.lit(0)))
         .withColumn("_n", F.sum("_len").over(Window.partitionBy(*keys)))
     )
-    return Carved(cold, hot, slices)
+    return Carved(cold, hot, materialise(slices, "slice-table"))
 
 
 def with_halo(carved: Carved, keys: Sequence[str], lookback: int) -> DataFrame:
@@ -106,7 +106,7 @@ def with_halo(carved: Carved, keys: Sequence[str], lookback: int) -> DataFrame:
     slices = carved.slices.withColumn(
         "_next", F.collect_list(F.struct(F.col("_slice").alias("s"), F.col("_start").alias("at"))).over(ahead)
     ).withColumn("_next", F.expr(f"filter(_next, t -> t.at < _start + _len + {lookback})"))
-    slices = hinted(slices.select(*keys, "_slice", "_first", "_start", "_next"))
+    slices = bounded(slices.select(*keys, "_slice", "_first", "_start", "_next"))
     index = F.col("_start") + F.col("_pos") - F.col("_first")
     return (
         attach(carved.hot, slices, [*keys, "_slice"])
@@ -181,7 +181,7 @@ def fill(
     across = Window.partitionBy(*keys).orderBy("_slice")
     past = across.rowsBetween(Window.unboundedPreceding, -1)
     every = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carry = hinted(
+    carry = bounded(
         edges.select(
             *keys,
             "_slice",
@@ -224,7 +224,7 @@ def number_rows(
     if carved.hot is None:
         return plain
     cut = (
-        attach(carved.hot, hinted(carved.slices), [*keys, "_slice"])
+        attach(carved.hot, bounded(carved.slices), [*keys, "_slice"])
         .withColumn(number, F.col("_start") + F.col("_pos") - F.col("_first") + 1)
         .withColumn(size, F.col("_n"))
     )

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.functions.columns import hash_key
-from seriesmill.operators.ranks import bounded, hash_cuts, keys_at, label_by_cuts
-from seriesmill.operators.slices import attach
+from seriesmill.operators.ranks import keys_at, label_by_cuts
+from seriesmill.operators.slices import attach, bounded
+from seriesmill.operators.selection import hash_cuts
 from seriesmill.spec import SeriesSpec
 
 SPLITS = ("train", "val", "test")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.operators import attribution, evaluate, model, sample, threshold
+from seriesmill.operators import attribution, boosting, evaluate, model, sample, threshold
 from seriesmill.operators.report import metrics_documents, model_report, require_gates, thresholds_document
 from seriesmill.operators.split import resplit_if_needed
 from seriesmill.session import materialise
@@ -17,7 +17,7 @@ from seriesmill.spec import SeriesSpec
 TRAINERS = {
     "rf": lambda df, label, names, **p: model.train_forest(df, label, names, **p),
     "xgb": lambda df, label, names, **p: model.train_boosted(df, label, names, **p),
-    "lgb": lambda df, label, names, **p: model.train_boosted(df, label, names, defaults=model.BOOSTED_BY_LEAF, **p),
+    "lgb": lambda df, label, names, **p: model.train_boosted(df, label, names, defaults=boosting.BY_LEAF, **p),
 }
 
 

@@ -62,4 +62,4 @@ def heavy_downsample(spark, d):
 def heavy_quantiles(spark, d):
     values = long_form(heavy_lines(spark, d), ["l_returnflag"], HEAVY.sensors).where(F.col("value").isNotNull())
     probs = {"p25": 0.25, "median": 0.5, "p99": 0.99}
-    return tidy(exact_quantiles(values, ["l_returnflag", "sensor"], probs, in_memory_rows=1_000, accuracy=1_000))
+    return tidy(exact_quantiles(values, ["l_returnflag", "sensor"], probs, few=1_000))

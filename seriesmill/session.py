@@ -52,22 +52,19 @@ def fitted_shuffle(
 def shared_dir(spark: SparkSession) -> str:
     """This application's folder in ``spark.checkpoint.dir``, else in the warehouse.
 
-    Both are shared by driver and executors; a machine's own temporary folder is never used.
+    Both are shared by driver and executors.  Executors on other machines do not see a warehouse on this one's disk, so
+    that is refused on a cluster.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not root:
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+        if root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; the warehouse is on this machine: {root}")
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Let iterative learners checkpoint to the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -80,7 +77,16 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made._scratch = path
+    return made
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table that ``materialise`` wrote and that nothing reads any more; other frames are left alone."""
+    path = getattr(df, "_scratch", None)
+    if path:
+        _delete(df.sparkSession, path)
 
 
 def drop_scratch(spark: SparkSession) -> bool:
@@ -88,5 +94,9 @@ def drop_scratch(spark: SparkSession) -> bool:
 
     Call it when the results are written: frames that read scratch tables fail afterwards.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    return _delete(spark, shared_dir(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

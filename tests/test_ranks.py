@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seriesmill.operators import ranks, sample, split
+from seriesmill.operators import ranks, sample, selection, split
 from seriesmill.operators.quantiles import exact_quantiles
 from seriesmill.spec import SeriesSpec
 
@@ -108,18 +108,76 @@ def test_missing_classes_and_resplit(spark):
     assert {r[0] for r in split.resplit_if_needed(no_train, SPEC, ["x"]).select("split").distinct().collect()} == set(split.SPLITS)
 
 
-@pytest.mark.parametrize("accuracy", [20, 1000])
-def test_bracketed_percentiles_equal_numpy(spark, accuracy):
+def odd_doubles() -> np.ndarray:
+    """Doubles of every size, those next to powers of two, the smallest and the largest ones, in both signs."""
+    rng = np.random.default_rng(8)
+    powers = 2.0 ** np.arange(-1074, 1024, 7)
+    sizes = np.concatenate([powers, np.nextafter(powers, np.inf), np.nextafter(powers, 0), rng.normal(size=500) * 10.0 ** rng.integers(-300, 300, 500), [0.0, 5e-324, 2.0**-1022, 1.7976931348623157e308, np.inf, 1.0, 2.0, 1e5]])
+    return np.concatenate([sizes, -sizes])
+
+
+def test_images_are_the_bits_of_doubles(spark):
+    values = odd_doubles()
+    rows = spark.createDataFrame([(float(v),) for v in values] + [(float("nan"),)], "v double")
+    got = {str(r["v"]): r["i"] for r in rows.select("v", selection.image(F.col("v")).alias("i")).collect()}
+    bits = np.abs(values).view(np.int64)
+    for v, want in zip(values, np.where(values < 0, -bits, bits)):
+        assert got[str(float(v))] == want, v
+    assert got["nan"] == (1 << 63) - 1
+
+
+@pytest.mark.parametrize("few", [0, 10, 200, 1_000_000])
+def test_percentiles_equal_numpy(spark, few):
+    """One formula, whether groups go down by one digit, by all of them or by none."""
     rng = np.random.default_rng(3)
-    values = np.concatenate([rng.normal(size=2000), np.full(900, 0.25), rng.integers(0, 5, 300)])
-    rows = [(int(i % 3), float(v)) for i, v in enumerate(values)] + [(0, None)]
+    values = np.concatenate([rng.normal(size=2000), np.full(900, 0.25), rng.integers(0, 5, 300), odd_doubles()[np.abs(odd_doubles()) < 1e300]])
+    rows = [(int(i % 3), float(v)) for i, v in enumerate(values)] + [(0, None), (None, 4.0), (None, 5.0), (9, -1.5)]
     df = spark.createDataFrame(rows, "g int, value double").repartition(6)
-    probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.99, "e": 1.0}
-    got = exact_quantiles(df, ["g"], probs, in_memory_rows=10, accuracy=accuracy).collect()
+    probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.99, "e": 1.0, "f": 0.5}
+    got = exact_quantiles(df, ["g"], probs, few=few).collect()
     for r in got:
         mine = [v for g, v in rows if g == r["g"] and v is not None]
-        np.testing.assert_allclose([r[k] for k in probs], np.quantile(mine, list(probs.values())), atol=1e-12)
-    assert len(got) == 3
+        np.testing.assert_allclose([r[k] for k in probs], np.quantile(mine, list(probs.values())), rtol=1e-12, atol=1e-300)
+    assert len(got) == 5
+    whole = exact_quantiles(df, [], {"m": 0.5}, few=few).collect()
+    assert [r["m"] for r in whole] == pytest.approx([np.quantile([v for _, v in rows if v is not None], 0.5)])
+    assert exact_quantiles(df.where("false"), ["g"], probs, few=few).collect() == []
+
+
+def test_no_task_sorts_more_than_a_digit(spark):
+    """The counts that one window sees are those of a digit, or of few rows."""
+    df = spark.range(30_000).select(F.lit(0).alias("g"), (F.col("id") / 7).alias("value"))
+    deals = []
+    plain = selection._find
+
+    def watched(counts, by, at, name):
+        deals.append(counts.groupBy(*by, "_at").count().agg(F.max("count")).first()[0])
+        return plain(counts, by, at, name)
+
+    selection._find = watched
+    try:
+        (row,) = exact_quantiles(df, ["g"], {"m": 0.5}, few=100).collect()
+    finally:
+        selection._find = plain
+    assert row["m"] == pytest.approx(29_999 / 14) and len(deals) >= 3 and deals[-1] <= 100
+
+
+@pytest.mark.parametrize("few", [0, 3, 50_000])
+def test_digest_cuts_at_every_depth(spark, few):
+    """Also where all digests share their first digits, and where copies share a digest."""
+    rng = np.random.default_rng(4)
+    rows = [(g, "abcdabcd" * 2 + f"{v:016x}") for g, n in ((0, 500), (1, 7), (None, 40)) for v in rng.integers(0, 300, n)]
+    df = spark.createDataFrame(rows, "g int, _h string")
+    wants = [F.lit(5), F.col("n"), F.lit(0), F.col("n") * 2]
+    for r in selection.hash_cuts(df, ["g"], wants, few).collect():
+        mine = sorted(h for g, h in rows if g == r["g"])
+        for i, want in enumerate((min(5, len(mine)), len(mine), 0, len(mine))):
+            if not want:
+                assert r[f"_cut_{i}"] is None
+                continue
+            cut = mine[want - 1]
+            assert (r[f"_cut_{i}"], r[f"_tied_{i}"]) == (cut, mine.count(cut))
+            assert r[f"_spare_{i}"] == want - sum(h < cut for h in mine)
 
 
 def test_downsample_step(spark):
