@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import broadcast_checked
+from seriesmill.llm.common import PER_CALL, broadcast_checked
 from seriesmill.session import materialise
 
 CHAIN = ("low_quality", "toxic")
@@ -48,11 +48,14 @@ class Linear:
     weights: np.ndarray
     before: np.ndarray
     bias: float
+    _dense: np.ndarray | None = None
 
     def dense(self) -> np.ndarray:
-        made = np.zeros(WIDTH)
-        made[self.features] = self.weights
-        return made
+        """The weights of the whole space, made once a worker."""
+        if self._dense is None:
+            self._dense = np.zeros(WIDTH)
+            self._dense[self.features] = self.weights
+        return self._dense
 
 
 @dataclass
@@ -67,9 +70,12 @@ class Chain:
 
         @F.arrow_udf("array<double>")
         def chances(terms: pa.Array) -> pa.Array:
-            held, ends = np.asarray(terms.flatten()), np.asarray(terms.offsets)
-            made = _chances(models, held, ends - ends[0])
-            return pa.ListArray.from_arrays(np.arange(len(made) + 1, dtype=np.int32) * len(models), made.ravel())
+            made = [np.empty((0, len(models)))]
+            for first in range(0, len(terms), PER_CALL):
+                part = terms.slice(first, PER_CALL)
+                ends = np.asarray(part.offsets)
+                made.append(_chances(models, np.asarray(part.flatten()), ends - ends[0]))
+            return pa.ListArray.from_arrays(np.arange(len(terms) + 1, dtype=np.int32) * len(models), np.concatenate(made).ravel())
 
         made = df.withColumn("_p", chances(hashed(F.col(text))))
         return made.select("*", *[F.get("_p", F.lit(i)).alias(f"_p_{c}") for i, c in enumerate(self.models)]).drop("_p")
@@ -104,19 +110,21 @@ def fit_linear(terms: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.nd
     n, positive = len(y), float(y.sum())
     if not 0 < positive < n:
         return positive / n if n else 0.0
-    row = np.repeat(np.arange(n), np.diff(ends))
-    used, at, counts = np.unique(terms, return_inverse=True, return_counts=True)
-    hits = np.bincount(at, y[row], len(used))
+    sizes = np.diff(ends)
+    counts = np.bincount(terms, minlength=WIDTH)
+    hits = np.bincount(terms, np.repeat(y, sizes), WIDTH)
     ratio = np.log((hits + 1.0) / (positive + 2.0)) - np.log((counts - hits + 1.0) / (n - positive + 2.0))
-    ratio[(counts < LEAST_DOCS) | (np.abs(ratio) < LEAST_RATIO)] = 0.0
     # features that tell nothing go; entries by row, and the same entries by feature, as stretches to be added up
-    some = np.flatnonzero(ratio)
-    place = np.full(len(used), -1)
-    place[some] = np.arange(len(some))
-    used, ratio, at = used[some], ratio[some], place[at]
-    row, at = row[at >= 0], at[at >= 0]
+    used = np.flatnonzero((counts >= LEAST_DOCS) & (np.abs(ratio) >= LEAST_RATIO))
+    place = np.full(WIDTH, -1, dtype=np.int32)
+    place[used] = np.arange(len(used))
+    ratio, at = ratio[used], place[terms]
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)[at >= 0]
+    at = at[at >= 0]
     by_feature = np.argsort(at, kind="stable")
+    feature_starts = np.searchsorted(at, np.arange(len(used)), sorter=by_feature)
     back_row = row[by_feature]
+    del by_feature
     rows, row_starts = np.unique(row, return_index=True)
     feature_starts = np.searchsorted(at[by_feature], np.arange(len(used)))
     weight = np.where(y == 1, n / (2 * positive), n / (2 * (n - positive))) / n
