@@ -126,7 +126,6 @@ def fit_linear(terms: np.ndarray, ends: np.ndarray, before: np.ndarray, y: np.nd
     back_row = row[by_feature]
     del by_feature
     rows, row_starts = np.unique(row, return_index=True)
-    feature_starts = np.searchsorted(at[by_feature], np.arange(len(used)))
     weight = np.where(y == 1, n / (2 * positive), n / (2 * (n - positive))) / n
     x = np.zeros(len(used) + before.shape[1] + 1)  # features, categories before, bias
     f, width = len(used), len(x)
