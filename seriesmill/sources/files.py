@@ -67,7 +67,7 @@ def _thrift(error: OSError) -> bool:
     return "thrift" in str(error).lower() or "deserialize" in str(error).lower()
 
 
-def validate_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
+def validate_files(spark: SparkSession, path: str, glob: str = "*.parquet", only: DataFrame | None = None) -> DataFrame:
     """One row per file with what its footer says; footers are read by the executors."""
     listed = (
         spark.read.format("binaryFile")
@@ -76,6 +76,8 @@ def validate_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> D
         .load(path)
         .select(plain_path(F.col("path")).alias("path"))
     )
+    if only is not None:
+        listed = listed.join(only.select("path").distinct(), "path", "left_semi")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f.split()[0] for f in FOOTER_SCHEMA.split(", ")]
@@ -85,14 +87,16 @@ def validate_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> D
     return listed.mapInPandas(read, FOOTER_SCHEMA)
 
 
-def check_files(spark: SparkSession, path: str, glob: str = "*.parquet", exclude: Sequence[str] = ()) -> DataFrame:
+def check_files(
+    spark: SparkSession, path: str, glob: str = "*.parquet", exclude: Sequence[str] = (), only: DataFrame | None = None
+) -> DataFrame:
     """Footers and contents of every file, a written table: path, status, n_rows, n_read, columns, digest, error.
 
     ``status`` is ``unreadable`` where the footer is no Parquet, ``damaged`` where fewer rows can be decoded
     than the footer counts, else ``ok``.  Every page of every file is decoded once, by Spark, on its own
-    settings for the store; footers are read once.  ``digest`` is over the decoded rows in any order.
+    settings for the store; footers are read once.  With ``only`` (a column ``path``) no other file is opened.  ``digest`` is over the decoded rows in any order.
     """
-    checked = validate_files(spark, path, glob)
+    checked = validate_files(spark, path, glob, only)
     if exclude:
         checked = checked.where(~F.element_at(F.split("path", "/"), -1).isin(*exclude))
     checked = materialise(checked, "footers")
