@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from seriesmill.llm.bpe import Vocabulary, tokenizer_path, vocabulary
 from seriesmill.llm.common import map_texts
 
-REMEMBERED = 1 << 19  # distinct pieces a worker keeps the counts of
+REMEMBERED = 1 << 23  # bytes of distinct pieces that a worker keeps the counts of
 
 
 class Counter:
@@ -32,6 +32,7 @@ class Counter:
         self.vocab = vocab
         self.totals: dict[str, int] = {}
         self.tables: dict[str, list[int]] = {}
+        self.held = 0
 
     def table(self, piece: str) -> list[int]:
         """Tokens of every byte prefix of a piece."""
@@ -41,9 +42,11 @@ class Counter:
                 made = [0] * len(piece.encode()) + [1]
             else:
                 made = self.vocab.prefix_counts(piece.encode("utf-8", "surrogatepass"))
-            if len(self.tables) >= REMEMBERED:
+            self.held += len(made)
+            if self.held > REMEMBERED:
                 self.tables.clear()
                 self.totals.clear()
+                self.held = len(made)
             self.tables[piece] = made
             self.totals[piece] = made[-1]
         return made
@@ -61,6 +64,7 @@ class Prefixes:
         self.pieces = counter.vocab.pieces(text) if text else []
         self.ends = [0, *accumulate(map(len, self.pieces))]
         self.counts = [0, *accumulate(map(counter.total, self.pieces))]
+        self.spaces: dict[int, list[int] | None] = {}
 
     @property
     def total(self) -> int:
@@ -79,8 +83,25 @@ class Prefixes:
         if begin == i and not special and pieces[i][0] != "'" and not pieces[i].isspace():
             return self.counts[i] + self.counter.table(pieces[i])[len(pieces[i][:inside].encode())]
         stretch = "".join(pieces[begin:i]) + (pieces[i][:inside] if inside else "")
+        if not special and stretch.isspace():
+            table = self._space(begin)
+            if table is not None:
+                return self.counts[begin] + table[len(stretch.encode())]
         return self.counts[begin] + sum(map(self.counter.total, self.counter.vocab.pieces(stretch)))
 
+    def _space(self, begin: int) -> list[int] | None:
+        """Tokens of every prefix of the white space from piece ``begin`` on, made once; None if it is not one piece to the tokenizer."""
+        if begin not in self.spaces:
+            end = begin
+            while end < len(self.pieces) and self.pieces[end].isspace():
+                end += 1
+            # a space may begin the piece behind
+            after = self.pieces[end] if end < len(self.pieces) else ""
+            run = "".join(self.pieces[begin:end]) + after[: len(after) - len(after.lstrip())]
+            whole = len(self.counter.vocab.pieces(run)) == 1 and run not in self.counter.vocab.special
+            self.spaces[begin] = self.counter.vocab.prefix_counts(run.encode()) if whole else None
+        return self.spaces[begin]
+
     def within(self, budget: int) -> int:
         """Code points of the longest prefix of at most ``budget`` tokens."""
         if self.total <= budget:
