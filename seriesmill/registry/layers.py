@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesmill.plans import medallion
-from seriesmill.registry.book import query, read
+from seriesmill.plans import ingest, medallion
+from seriesmill.registry.book import query, r6, read, tidy
 from seriesmill.session import scratch_path
+from seriesmill.sources import manifest
 from seriesmill.sources.bronze import bronze
 from seriesmill.sources.files import split_rows, write_table
 from seriesmill.spec import WELL_SERIES, event_labels
@@ -45,3 +46,39 @@ def etl_layers(spark, d):
     typed = write_table(bronze(well_rows(spark, d), WELL_SERIES, event_labels(spark)), f"{out}/bronze")
     cleaned = medallion.run_silver(typed, f"{out}/silver")
     return split_rows(medallion.run_gold(cleaned, f"{out}/gold"))
+
+
+def lay_out(spark, d) -> str:
+    """All lines as series files, one per well and class, and one that is no Parquet; the folder they are in."""
+    folder = scratch_path(spark, "raw")
+    rows = well_rows(spark, d).select("timestamp", "T-TPT", "QGL", F.substring("ID_Poco", -1, 1).alias("_well"), F.col("class").alias("_class"))
+    rows.repartition("_class", "_well").write.partitionBy("_class", "_well").parquet(f"{folder}/parts")
+    jvm = spark._jvm.org.apache.hadoop.fs
+    root = jvm.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(jvm.Path(f"{folder}/parts/*/*/*.parquet")):
+        part = status.getPath()
+        well, label = (p.getName().partition("=")[2] for p in (part.getParent(), part.getParent().getParent()))
+        home = jvm.Path(f"{folder}/files/classe_{label}")
+        fs.mkdirs(home)
+        fs.rename(part, jvm.Path(home, f"WELL-0000{well}_20170201020207.parquet"))
+    out = fs.create(jvm.Path(f"{folder}/files/classe_4/WELL-00000_20180201020207.parquet"), True)
+    out.write(bytearray(b"no series"))
+    out.close()
+    return f"{folder}/files"
+
+
+@query(
+    "ingest_run",
+    f"""SELECT '0000' || right(l_suppkey::VARCHAR, 1) AS ID_Poco, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 4 ELSE 7 END::INTEGER AS classe_evento,
+               '2017-02-01 02:02:07' AS data_medicao, count(*) AS n_rows, {r6("sum(l_discount * 2100)", "sum_t_tpt")}, 1::BIGINT AS broken
+        FROM lineitem GROUP BY ALL""",
+)
+def ingest_run(spark, d):
+    """Three runs over one folder: some wells, all wells, nothing new; the table has each row once and lists the broken file."""
+    raw, table = lay_out(spark, d), scratch_path(spark, "ingested")
+    for wells in (["00001", "00002"], None, None):
+        ingest.run_ingest(spark, raw, table, wells)
+    broken = manifest.read_files(spark, table).where("status <> 'ok'").select("name").distinct().count()
+    rows = manifest.read_rows(spark, table).groupBy("ID_Poco", "classe_evento", "data_medicao").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("T-TPT").alias("sum_t_tpt"))
+    return tidy(rows.withColumn("broken", F.lit(broken).cast("long")))

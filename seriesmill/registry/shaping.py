@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesmill.operators import features as feat
-from seriesmill.operators import ranks, sample, scale, silver, split
+from seriesmill.operators import gram, ranks, sample, scale, silver, split
 from seriesmill.plans.medallion import gold as to_gold
 from seriesmill.registry.book import query, r6, read, tidy
 from seriesmill.registry.fixtures import (
@@ -97,6 +97,24 @@ def features_zero(spark, d):
     return tidy(feat.features(clean(spark, d), LINES, "zero"), COARSE)
 
 
+MANY = [n for n in LINES.features if "_lag_" not in n]
+CHOSEN = [("l_tax", "l_quantity_roll_mean_5"), ("l_quantity", "l_extendedprice_roll_max_30"), ("l_discount_delta", "l_discount_roll_std_10"), ("l_tax_roll_min_10", "l_tax_roll_min_30")]
+
+
+@query(
+    "corr_features",
+    f"{LINE_SILVER}, feats AS ({features_cte(LINES, 'silver')}) "
+    + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {r6(f'corr({a}, {b})', 'corr')} FROM feats" for x, y in CHOSEN for a, b in ((x, y), (y, x)))
+    + f" UNION ALL SELECT 'pairs', 'pairs', {len(MANY) ** 2}::DOUBLE",
+)
+def corr_features(spark, d):
+    """Correlations of all derived features; the twin has the chosen pairs and the number of all."""
+    whole = materialise(gram.corr_of_many(feat.features(clean(spark, d), LINES), MANY), "correlations")
+    some = F.concat_ws(" ", "a", "b").isin(*[f"{a} {b}" for x, y in CHOSEN for a, b in ((x, y), (y, x))])
+    number = whole.agg(F.lit("pairs").alias("a"), F.lit("pairs").alias("b"), F.count(F.lit(1)).cast("double").alias("corr"))
+    return tidy(whole.where(some).unionByName(number))
+
+
 @query("features_serving", feature_sql(SERVING, serving=True))
 def features_serving(spark, d):
     return tidy(feat.features(clean(spark, d), SERVING, "backfill"), COARSE)
