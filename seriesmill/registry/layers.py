@@ -61,7 +61,7 @@ def lay_out(spark, d) -> str:
         well, label = (p.getName().partition("=")[2] for p in (part.getParent(), part.getParent().getParent()))
         home = jvm.Path(f"{folder}/files/classe_{label}")
         fs.mkdirs(home)
-        fs.rename(part, jvm.Path(home, f"WELL-0000{well}_20170201020207.parquet"))
+        fs.rename(part, jvm.Path(home, f"WELL-0000{well}_2017020102020{label}.parquet"))
     out = fs.create(jvm.Path(f"{folder}/files/classe_4/WELL-00000_20180201020207.parquet"), True)
     out.write(bytearray(b"no series"))
     out.close()
@@ -71,7 +71,7 @@ def lay_out(spark, d) -> str:
 @query(
     "ingest_run",
     f"""SELECT '0000' || right(l_suppkey::VARCHAR, 1) AS ID_Poco, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 4 ELSE 7 END::INTEGER AS classe_evento,
-               '2017-02-01 02:02:07' AS data_medicao, count(*) AS n_rows, {r6("sum(l_discount * 2100)", "sum_t_tpt")}, 1::BIGINT AS broken
+               '2017-02-01 02:02:0' || CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 4 ELSE 7 END AS data_medicao, count(*) AS n_rows, {r6("sum(l_discount * 2100)", "sum_t_tpt")}, 1::BIGINT AS broken
         FROM lineitem GROUP BY ALL""",
 )
 def ingest_run(spark, d):
