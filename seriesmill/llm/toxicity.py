@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import PER_CALL, broadcast_checked
+from seriesmill.llm.common import PER_CALL, broadcast_checked, give_back
 from seriesmill.session import materialise
 
 CHAIN = ("low_quality", "toxic")
@@ -217,14 +217,17 @@ def _fitter(category: str, unseen: list, penalty: float):
     def fit(rows: pa.Table) -> pa.Table:
         # in one order, so that sums do not depend on the order of arrival
         rows = rows.sort_by([("_id", "ascending"), (category, "ascending")]).combine_chunks()
+        part = rows.column("part")[0].as_py()
         terms = rows.column("terms").combine_chunks()
         held, ends = np.asarray(terms.flatten()), np.asarray(terms.offsets)
         ends = ends - ends[0]
         before = out_of_fold(held, ends, np.asarray(rows.column("fold")), unseen)
         model = fit_linear(held, ends, before, np.asarray(rows.column(category), dtype=np.float64), penalty)
+        del held, ends, terms, before, rows
+        give_back()
         made = (None, None, None, None, model) if isinstance(model, float) else (model.features, model.weights, model.before, model.bias, None)
         names = [part.split()[0] for part in _MODELS.split(", ")]
-        return pa.table({n: pa.array([v], k) for n, v, k in zip(names, (rows.column("part")[0].as_py(), *made), _KINDS)})
+        return pa.table({n: pa.array([v], k) for n, v, k in zip(names, (part, *made), _KINDS)})
 
     return fit
 
