@@ -64,12 +64,16 @@ class Chain:
 
     models: dict[str, Linear | float] = field(default_factory=dict)
 
-    def predict(self, df: DataFrame, text: str) -> DataFrame:
-        """The columns of ``df`` and ``_p_<category>`` for every category."""
+    def predict(self, df: DataFrame) -> DataFrame:
+        """The columns of ``df``, ``_terms`` replaced by ``_p_<category>`` for every category.
+
+        Rows wait in memory for what Python makes of their terms, so ``df`` should not have the text twice.
+        """
         models = list(self.models.values())
 
         @F.arrow_udf("array<double>")
         def chances(terms: pa.Array) -> pa.Array:
+            give_back()  # what earlier work of this worker has freed
             made = [np.empty((0, len(models)))]
             for first in range(0, len(terms), PER_CALL):
                 part = terms.slice(first, PER_CALL)
@@ -77,7 +81,7 @@ class Chain:
                 made.append(_chances(models, np.asarray(part.flatten()), ends - ends[0]))
             return pa.ListArray.from_arrays(np.arange(len(terms) + 1, dtype=np.int32) * len(models), np.concatenate(made).ravel())
 
-        made = df.withColumn("_p", chances(hashed(F.col(text))))
+        made = df.withColumn("_p", chances("_terms")).drop("_terms")
         return made.select("*", *[F.get("_p", F.lit(i)).alias(f"_p_{c}") for i, c in enumerate(self.models)]).drop("_p")
 
 
@@ -238,24 +242,25 @@ def _model(row: dict) -> Linear | float:
     return Linear(np.array(row["features"], dtype=np.int64), np.array(row["weights"]), np.array(row["before"], dtype=np.float64), row["bias"])
 
 
-def _decided(fitted: Chain, threshold: float) -> Column:
-    return (F.col("_p_toxic") >= threshold) & F.coalesce(F.trim("_text") != "", F.lit(False))
+def _some(text: Column) -> Column:
+    return F.coalesce(F.trim(text) != "", F.lit(False))
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = NEAR, **options) -> DataFrame:
     """doc_id, p_low_quality, p_toxic, toxic of every document."""
     fitted = fit_chain(docs, labels, **options)
-    made = fitted.predict(docs.select("doc_id", F.col("text").alias("_text")), "_text")
+    text = F.col("text")
+    made = fitted.predict(docs.select("doc_id", _some(text).alias("_some"), hashed(text).alias("_terms")))
     return made.select(
         "doc_id",
         F.col("_p_low_quality").alias("p_low_quality"),
         F.col("_p_toxic").alias("p_toxic"),
-        _decided(fitted, threshold).alias("toxic"),
+        (F.col("_some") & (F.col("_p_toxic") >= threshold)).alias("toxic"),
     )
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = NEAR, **options) -> DataFrame:
     """The documents that are not toxic, with all their columns."""
     fitted = fit_chain(docs, labels, **options)
-    whole = docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text"))
-    return fitted.predict(whole, "_text").where(~_decided(fitted, threshold)).select("_row.*")
+    whole = docs.select(F.struct("*").alias("_row"), hashed(F.col("text")).alias("_terms"))
+    return fitted.predict(whole).where(~(_some(F.col("_row.text")) & (F.col("_p_toxic") >= threshold))).select("_row.*")
