@@ -9,6 +9,9 @@ stay on the path?) or the covered share (unknown).  Grouped by the size of the s
 coefficients of a polynomial, one factor per feature of the path, so no subset is enumerated: a leaf with m features costs m^2 steps, once for every
 pattern of features that stay on the path, whatever the number of rows.  The root value (the mean
 output over the training rows) plus a row's values is the model's output for it.
+
+A tree only compares: rows between the same two thresholds in every feature have the same values.  So values are computed once per *cell*, a
+combination of such intervals that occurs, and joined to its rows.
 """
 
 from __future__ import annotations
@@ -19,18 +22,18 @@ from math import factorial
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seriesmill.functions.columns import display_name, sensor_of, share
-from seriesmill.operators.model import EventModel, assemble
+from seriesmill.functions.columns import display_name, finite_or_zero, sensor_of, share
+from seriesmill.operators.model import EventModel
 from seriesmill.operators.profile import with_label_text
 from seriesmill.operators.slices import bounded
-from seriesmill.session import scratch_path
+from seriesmill.session import materialise, scratch_path
 from seriesmill.spec import OTHER_SENSOR
 
-_BATCH = 8_192
+_BATCH = 4_096
+_LEAST = 256  # cells that are worth a task
 # Most bytes of trees in one broadcast; more trees go in several, and their values are added up.
 BROADCAST_BYTES = 256 << 20
 
@@ -154,38 +157,62 @@ def attribute(df: DataFrame, model: EventModel, keep: Sequence[str]) -> DataFram
     A class's root value and the values of all its features add up to the model's output for it: the probability of a
     forest, the margin of a boosted model.
     """
-    spark = df.sparkSession
+    trees = _trees(df.sparkSession, model)
+    placed = _placed(df, model, keep, cuts_of(trees, len(model.features)))
+    return placed.join(_cells(placed, model, trees), "_cell").select(*keep, F.inline("_values"))
+
+
+def cuts_of(trees: list[dict], features: int) -> list[np.ndarray]:
+    """Per feature the thresholds of all trees, rising."""
+    inner = [(t["feature"][t["left"] >= 0], t["threshold"][t["left"] >= 0]) for t in trees]
+    return [np.unique(np.concatenate([cut[f == i] for f, cut in inner])) if inner else np.empty(0) for i in range(features)]
+
+
+def _placed(df: DataFrame, model: EventModel, keep: Sequence[str], cuts: list[np.ndarray]) -> DataFrame:
+    """``keep`` and ``_cell``: per feature how many thresholds lie below its value, as 32-bit integers."""
+
+    @F.pandas_udf("binary")
+    def cell(*values: pd.Series) -> pd.Series:
+        places = np.stack([np.searchsorted(cut, v.to_numpy(), side="left") for cut, v in zip(cuts, values)], axis=1)
+        raw, width = places.astype(np.int32).tobytes(), 4 * len(cuts)
+        return pd.Series([raw[i : i + width] for i in range(0, len(raw), width)], dtype=object)
+
+    return df.select(*keep, cell(*[finite_or_zero(F.col(f)).cast("double") for f in model.features]).alias("_cell"))
+
+
+def _cells(placed: DataFrame, model: EventModel, trees: list[dict]) -> DataFrame:
+    """Every cell that occurs, with ``_values``: class, feature, value and root value."""
+    spark = placed.sparkSession
     classes, features = len(model.labels), len(model.features)
+    # a value of the cell: its upper threshold, beyond the last one infinity
+    tops = [np.append(c, np.inf) for c in cuts_of(trees, features)]
 
-    def part(trees: list[dict]):
-        sent = spark.sparkContext.broadcast(trees)
+    def part(group: list[dict]):
+        sent = spark.sparkContext.broadcast(group)
 
         @F.pandas_udf("array<double>")
-        def values(vectors: pd.Series) -> pd.Series:
+        def values(cells: pd.Series) -> pd.Series:
             out = []
-            for start in range(0, len(vectors), _BATCH):
-                x = np.stack(vectors.iloc[start : start + _BATCH].to_numpy())
+            for start in range(0, len(cells), _BATCH):
+                places = np.frombuffer(b"".join(cells.iloc[start : start + _BATCH]), dtype=np.int32).reshape(-1, features)
+                x = np.stack([top[places[:, i]] for i, top in enumerate(tops)], axis=1)
                 out.extend(shapley(x, sent.value, classes).reshape(len(x), -1))
             return pd.Series(out, dtype=object)
 
-        return values(vector_to_array("features"))
-
-    parts = [part(group) for group in _grouped(_trees(spark, model))]
-    flat = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), parts)
-    names = F.array(*[F.lit(n) for n in model.features])
-    labels = F.array(*[F.lit(x) for x in model.labels])
-    start = F.array(*[F.lit(float(v)) for v in (model.fitted.start if model.kind == "boosted" else np.zeros(classes))])
-    made = assemble(df, model.features).select(*keep, flat.alias("_c"))
-    by_class = made.select(
-        *keep,
-        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda k: F.slice("_c", k * (features + 1) + 1, features + 1))).alias("_k", "_c"),
-    )
-    return by_class.select(
-        *keep,
-        labels[F.col("_k")].alias("class"),
-        (F.element_at("_c", features + 1) + start[F.col("_k")]).alias("root_value"),
-        F.posexplode(F.slice("_c", 1, features)).alias("_i", "value"),
-    ).select(*keep, "class", names[F.col("_i")].alias("feature"), "value", "root_value")
+        return values("_cell")
+
+    found = materialise(placed.select("_cell").distinct(), "cells")
+    count = found.count()
+    tasks = max(-(-count // _BATCH), min(spark.sparkContext.defaultParallelism, -(-count // _LEAST)), 1)
+    flat = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), [part(group) for group in _grouped(trees)])
+    entry = []
+    for k, label in enumerate(model.labels):
+        at, start = k * (features + 1), float(model.fitted.start[k]) if model.kind == "boosted" else 0.0
+        for i, name in enumerate(model.features):
+            value, root = F.col("_c")[at + i], F.col("_c")[at + features] + F.lit(start)
+            entry.append(F.struct(F.lit(label).alias("class"), F.lit(name).alias("feature"), value.alias("value"), root.alias("root_value")))
+    made = found.repartition(tasks).select("_cell", flat.alias("_c"))
+    return materialise(made.select("_cell", F.array(*entry).alias("_values")), "cell-values")
 
 
 def top_features(table: DataFrame, score: str, n: int) -> DataFrame:
