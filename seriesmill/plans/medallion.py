@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesmill.functions.columns import from_sortable
 from seriesmill.operators import features as feat
 from seriesmill.operators import scale
 from seriesmill.operators.ranks import keys_at, label_by_cuts, rows_before
@@ -84,7 +85,11 @@ def gold(
     names = (*order, *spec.tiebreak)
     cuts = keys_at(rows, names, CUTS)
     placed = made.withColumn("split", label_by_cuts(rows, names, cuts, SPLITS))
-    stats = scale.fit_scaler(made.where(rows_before(rows, names, cuts[0])), spec.features, ddof)
+    cut, early = cuts[0], made
+    if cut is not None and cut[0] is not None and order[0] == spec.entity and spec.entity in spec.group:
+        # keys behind the cut are not worth their features
+        early = feat.features(df.where(F.col(spec.entity) <= from_sortable(df, spec.entity, cut[0])), spec, null_policy)
+    stats = scale.fit_scaler(early.where(rows_before(rows, names, cut)), spec.features, ddof)
     fitted = scale.stats_map(stats)
     stats = df.sparkSession.createDataFrame([(f, m, s) for f, (m, s) in fitted.items()], scale.STATS_SCHEMA)
     return scale.zscore(placed, fitted, spec.features, [*spec.meta, *keep, "split"]), stats
