@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.bpe import tokenizer_path, vocabulary
-from seriesmill.llm.common import map_texts
+from seriesmill.llm.common import give_back, map_texts, tidy
+from seriesmill.session import limit_batches
 
 CHUNK_CHARS = 4 << 20
 BUCKETS = 256  # of words, at most 256; a task holds the distinct words of one bucket at a time
@@ -119,6 +120,7 @@ def _bucket_of(word: bytes) -> int:
 
 def encode(docs: DataFrame, path: str | None = None, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """doc_id, ids: the token ids as little-endian unsigned 32-bit numbers."""
+    limit_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -172,6 +174,7 @@ def encode(docs: DataFrame, path: str | None = None, chunk_chars: int = CHUNK_CH
                 yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "bucket", "ids"])
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()  # what earlier work of this worker has freed
         if not left.num_rows:
             raise ValueError("words of a chunk that the other pass did not make: the input has no stable order")
         buckets = np.frombuffer(_unpack(left.column("buckets")[0].as_py()), np.uint8)
@@ -201,9 +204,9 @@ def encode(docs: DataFrame, path: str | None = None, chunk_chars: int = CHUNK_CH
                 at += n
         return pa.table({"doc_id": pa.array(ids, left.schema.field("doc_ids").type.value_type), "ids": pa.array(out, pa.binary())})
 
-    positions = docs.mapInArrow(numbered, f"chunk long, doc_ids array<{kind}>, sizes array<long>, codes binary, buckets binary")
-    words = docs.mapInArrow(worded, "bucket int, chunk long, words binary")
-    table = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(encoded, "chunk long, bucket int, ids binary")
+    positions = docs.mapInArrow(tidy(numbered), f"chunk long, doc_ids array<{kind}>, sizes array<long>, codes binary, buckets binary")
+    words = docs.mapInArrow(tidy(worded), "bucket int, chunk long, words binary")
+    table = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(encoded), "chunk long, bucket int, ids binary")
     return positions.groupBy("chunk").cogroup(table.groupBy("chunk")).applyInArrow(joined, f"doc_id {kind}, ids binary")
 
 

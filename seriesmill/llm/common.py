@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,17 @@ def give_back() -> None:
         pass  # another C library
 
 
+def tidy(over: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``over`` for ``mapInArrow``, freed memory given back after its last batch: an executor keeps several workers, and tasks take them in turn."""
+
+    @wraps(over)
+    def run(batches: Iterator) -> Iterator:
+        yield from over(batches)
+        give_back()
+
+    return run
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, all other characters untouched.
 
@@ -157,4 +169,4 @@ def map_texts(df: DataFrame, keep: list[str], column: str, schema: str, made: Ca
                 arrays = [part.column(c) for c in keep] + [pa.array(out[n]) if len(out[n]) else pa.nulls(0) for n in names]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])
 
-    return df.select(*keep, *({column} - {*keep})).mapInArrow(over, whole)
+    return df.select(*keep, *({column} - {*keep})).mapInArrow(tidy(over), whole)

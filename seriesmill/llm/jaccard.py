@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import broadcast_checked, map_texts, mixed, shingle_sets
-from seriesmill.session import materialise
+from seriesmill.llm.common import broadcast_checked, map_texts, mixed, shingle_sets, tidy
+from seriesmill.session import limit_batches, materialise
 
 SHINGLE = 5
 PERCENT = 80  # links need 100 * intersection >= PERCENT * union
@@ -132,7 +132,7 @@ def commonness(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tolist() for s in sums.values()], pa.list_(pa.int64()))], names=["part", "counts"])
 
     schema = "part int, counts array<long>"
-    tables = docs.select("text").mapInArrow(count, schema).repartition("part").mapInArrow(add, schema)
+    tables = docs.select("text").mapInArrow(tidy(count), schema).repartition("part").mapInArrow(tidy(add), schema)
     found = {r["part"]: r["counts"] for r in tables.collect()}
     if not found:
         return np.zeros(SLOTS, dtype=np.uint8)
@@ -166,7 +166,7 @@ def postings(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                     names=["token", "class", "n"],
                 )
 
-    return docs.select("text").mapInArrow(over, "token long, class long, n int")
+    return docs.select("text").mapInArrow(tidy(over), "token long, class long, n int")
 
 
 def shared_postings(rows: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def shared_postings(rows: DataFrame) -> DataFrame:
                 )
 
     ordered = rows.repartition("token").sortWithinPartitions("token", "class")
-    return materialise(ordered.mapInArrow(over, "token long, class long, n int"), "shared")
+    return materialise(ordered.mapInArrow(tidy(over), "token long, class long, n int"), "shared")
 
 
 def signature(tokens: np.ndarray) -> np.ndarray:
@@ -237,7 +237,7 @@ def allowed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 v = _leaves(batch.column("n_b"), batch.column("s_b"), -1 - every)  # never one component
                 yield batch.select(["a", "b"]).take(pa.array(_may_link(u, v, every, every)))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(over, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(tidy(over), "a long, b long")
 
 
 def links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -271,7 +271,7 @@ def links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(good_a, pa.int64()), pa.array(good_b, pa.int64())], names=["a", "b"])
 
     texts = _texts_of(docs, wanted).repartition("star", "cut").sortWithinPartitions("star", "cut", "role")
-    return materialise(texts.mapInArrow(compare, "a long, b long"), "links")
+    return materialise(texts.mapInArrow(tidy(compare), "a long, b long"), "links")
 
 
 # ---- components
@@ -426,7 +426,7 @@ def group_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     schema = "a long, b long, need long, token long, node int, low long, high long, one long, names binary, sizes binary, roots binary, signatures binary"
     ordered = rows.repartition("token").sortWithinPartitions("token", "n", "class")
-    made = materialise(ordered.mapInArrow(over, schema), "groups")
+    made = materialise(ordered.mapInArrow(tidy(over), schema), "groups")
     return made.where("token IS NULL").select("a", "b", "need"), made.where("token IS NOT NULL").drop("a", "b", "need")
 
 
@@ -522,7 +522,7 @@ def node_pairs(nodes: DataFrame) -> DataFrame:
     met = nodes.join(other, "token").where(
         f"node <= node_b AND 100 * least(high, high_b) >= {PERCENT} * greatest(low, low_b) AND NOT coalesce(one = one_b, false)"
     )
-    return met.mapInArrow(over, "a long, b long, need long")
+    return met.mapInArrow(tidy(over), "a long, b long, need long")
 
 
 # ---- the join
@@ -583,6 +583,7 @@ def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, key, n_shingles, component_id (smallest doc_id that links reach), root (a class of the component)."""
+    limit_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     members = materialise(members_of(docs), "members")
     classes = materialise(
