@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.common import broadcast_checked, map_texts, mixed, shingle_sets, tidy
-from seriesmill.session import limit_batches, materialise
+from seriesmill.session import forget, limit_batches, materialise
 
 SHINGLE = 5
 PERCENT = 80  # links need 100 * intersection >= PERCENT * union
@@ -44,6 +44,7 @@ AT_ONCE = 1 << 15  # node pairs looked at in one array operation
 ROUNDS = 5  # of leaders, at most; a round that links few of its pairs is the last
 FEW = 0.05
 PER_STAR = 256  # texts that one copy of a leader is compared with
+EDGES = 1 << 18  # that one task joins to components by itself
 
 
 def set_name(tokens: np.ndarray) -> tuple[int, int]:
@@ -271,23 +272,75 @@ def links(docs: DataFrame, firsts: DataFrame, pairs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(good_a, pa.int64()), pa.array(good_b, pa.int64())], names=["a", "b"])
 
     texts = _texts_of(docs, wanted).repartition("star", "cut").sortWithinPartitions("star", "cut", "role")
-    return materialise(texts.mapInArrow(tidy(compare), "a long, b long"), "links")
+    made = materialise(texts.mapInArrow(tidy(compare), "a long, b long"), "links")
+    forget(wanted)
+    return made
 
 
 # ---- components
 
 
+def reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All nodes of the edges, and the smallest that each can reach."""
+    nodes, places = np.unique(np.concatenate((a, b)), return_inverse=True)
+    one, two = places[: len(a)], places[len(a) :]
+    root = np.arange(len(nodes))
+    while len(one):
+        low, high = np.minimum(root[one], root[two]), np.maximum(root[one], root[two])
+        apart = low != high
+        one, two, low, high = one[apart], two[apart], low[apart], high[apart]
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root = root[root]
+    return nodes, nodes[root]
+
+
+def _reachable_by_task(edges: DataFrame, rows: int) -> DataFrame:
+    """node, root: what the edges (a, b) that one task holds, EDGES or so, make of their nodes; final if ``rows`` are no more."""
+    most = EDGES
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def joined() -> pa.RecordBatch:
+            found = reachable(*(np.concatenate(side) for side in zip(*held)))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["node", "root"])
+
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        total = 0
+        for batch in batches:
+            held.append((batch.column("a").to_numpy(), batch.column("b").to_numpy()))
+            total += batch.num_rows
+            if total > most:
+                yield joined()
+                held, total = [], 0
+        if total:
+            yield joined()
+
+    return edges.coalesce(max(1, -(-rows // most))).mapInArrow(tidy(over), "node long, root long")
+
+
 def smallest_reachable(edges: DataFrame) -> DataFrame:
     """node, root of all nodes of the edges (a, b): the smallest node that each can reach.
 
-    Stars are grown and flattened in turn (Kiveris et al., 2014) until they no longer change; only
+    Tasks first join the edges that they hold; EDGES or fewer are done with that, in one task.  Of more, stars are grown and
+    flattened in turn (Kiveris et al., 2014) until they no longer change, or so few are left; only
     minima are aggregated, and neighbour lists are never gathered.
     """
-    now = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    edges = edges.where("a <> b").select("a", "b")
+    rows = edges.count()
+    joined = materialise(_reachable_by_task(edges, rows), "roots")
+    if rows <= EDGES:
+        return joined
+    now = materialise(joined.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).distinct(), "edges")
+    forget(joined)
     before = None
     while True:
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state[0] <= EDGES:
+            roots = materialise(_reachable_by_task(now.select(F.col("u").alias("a"), F.col("v").alias("b")), state[0]), "roots")
+            break
         if tuple(state) == before:
+            least = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+            roots = materialise(least.unionByName(least.select(F.col("root").alias("node"), "root").distinct()), "roots")
             break
         before = tuple(state)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -297,9 +350,18 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         met = down.join(low, "u")
         small = met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(met.select("u", F.col("m").alias("v")))
-        now = materialise(small.where("u <> v").distinct(), "edges")
-    roots = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
-    return materialise(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
+        last, now = now, materialise(small.where("u <> v").distinct(), "edges")
+        forget(last)
+    forget(now)
+    return roots
+
+
+def _with_links(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """``roots`` after further links (a, b); both tables are deleted, the components hold all that they say."""
+    made = smallest_reachable(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    forget(roots)
+    forget(found)
+    return made
 
 
 # ---- trees
@@ -559,16 +621,17 @@ def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """node, root of all classes that have a link; ``classes`` has name, size, signature and a document of each."""
     firsts = classes.select("class", F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
     shared = shared_postings(postings(docs, commonness(docs)))
-    edges = None
     roots = docs.sparkSession.createDataFrame([], "node long, root long")
     for turn in range(ROUNDS):
         led = materialise(allowed(led_pairs(shared, roots, turn), classes), "led")
         tried = led.count()
         found = links(docs, firsts, led)
         linked = found.count()
+        forget(led)
         if linked:
-            edges = found if edges is None else edges.unionByName(found)
-            roots = smallest_reachable(edges)
+            roots = _with_links(roots, found)
+        else:
+            forget(found)
         if linked <= FEW * tried:
             break
     placed = _roots_on(shared, roots)
@@ -577,8 +640,10 @@ def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     near, nodes = group_pairs(left)
     met = near.unionByName(node_pairs(nodes)).groupBy("a", "b", "need").agg(F.count(F.lit(1)).alias("times"))
     pairs = materialise(met.where("times >= need").select("a", "b"), "pairs")
+    forget(shared)
     found = links(docs, firsts, pairs)
-    return smallest_reachable(found if edges is None else edges.unionByName(found))
+    forget(pairs)
+    return _with_links(roots, found)
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -601,9 +666,12 @@ def components(docs: DataFrame) -> DataFrame:
     )
     if not classes.where("x <> y").isEmpty():
         raise ValueError("two shingle sets have one name")
-    placed = _roots_on(classes.select("class", "least"), class_links(docs, classes))
+    roots = class_links(docs, classes)
+    placed = _roots_on(classes.select("class", "least"), roots)
     lowest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     answer = materialise(placed.join(lowest, "root").select("class", "component_id", "root"), "answer")
+    forget(roots)
+    forget(classes)
     joined = members.drop("signature").join(answer, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), own.alias("component_id"), "root")
@@ -629,6 +697,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     stay = docs.join(broadcast_checked(chosen, F.lit(16)), on, "left_semi")
     again = found.where("n_shingles > 0").groupBy("doc_id", "key").count().where("count > 1")
     again = materialise(again.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), "again")
+    forget(found)
     if again.isEmpty():
         return stay
     same = stay["doc_id"].eqNullSafe(again["_id"]) & F.xxhash64(stay["text"]).eqNullSafe(again["_key"])
