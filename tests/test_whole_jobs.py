@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seriesmill.operators import features, silver
+from seriesmill.operators import boosting, features, silver
 from seriesmill.registry import QUERIES
 from seriesmill.registry.fixtures import LINES, lines
 
@@ -38,3 +39,17 @@ def test_correlations_of_every_pair_of_features(spark, folder):
     wanted = derived.agg(*[F.corr(a, b) for a, b in some]).first()
     for pair, corr in zip(some, wanted):
         assert made[pair] == pytest.approx(corr, abs=1e-6)
+
+
+def test_boosted_models_have_all_their_rounds(spark, folder, monkeypatch):
+    asked = []
+    fit = boosting.fit
+
+    def short(rows, names, classes, s):
+        asked.append(s)
+        return fit(rows, names, classes, replace(s, rounds=2))
+
+    monkeypatch.setattr(boosting, "fit", short)
+    made = QUERIES["gbt_train"](spark, folder).collect()
+    assert sorted((r["model"], r["split"]) for r in made) == [(m, s) for m in ("lgb", "xgb") for s in ("test", "train", "val")]
+    assert asked == [boosting.BY_DEPTH, boosting.BY_LEAF] and [s.rounds for s in asked] == [500, 1000]
