@@ -151,15 +151,18 @@ def _grouped(trees: list[dict]) -> list[list[dict]]:
     return groups
 
 
-def attribute(df: DataFrame, model: EventModel, keep: Sequence[str]) -> DataFrame:
+def attribute(df: DataFrame, model: EventModel, keep: Sequence[str], long: bool = True) -> DataFrame:
     """Long table: ``keep``, ``class``, ``feature``, ``value``, and ``root_value``, the same for all features of a class.
 
+    Unless ``long``, one row for each of ``df`` with these four in the structs of ``_values``: what is asked per row then needs no shuffle.
+
     A class's root value and the values of all its features add up to the model's output for it: the probability of a
     forest, the margin of a boosted model.
     """
     trees = _trees(df.sparkSession, model)
     placed = _placed(df, model, keep, cuts_of(trees, len(model.features)))
-    return placed.join(_cells(placed, model, trees), "_cell").select(*keep, F.inline("_values"))
+    found = placed.join(_cells(placed, model, trees), "_cell").select(*keep, "_values")
+    return found.select(*keep, F.inline("_values")) if long else found
 
 
 def cuts_of(trees: list[dict], features: int) -> list[np.ndarray]:
